@@ -149,6 +149,27 @@ def _unpack(x: bytes, dtype) -> np.ndarray:
     return np.frombuffer(pa.decompress(x[:-8], decompressed_size=int.from_bytes(x[-8:], "little"), codec="zstd", asbytes=True), dtype)
 
 
+def _sum_group(key, table, dtype):
+    total = None
+    for x in table.column("values"):
+        part = _unpack(x.as_py(), dtype)
+        total = part.copy() if total is None else total + part
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "values": pa.array([_pack(total)], pa.binary())})
+
+
+def sum_arrays(parts: DataFrame, dtype, length: int) -> np.ndarray:
+    """The sum of the tasks' packed arrays (block int, values binary), added up in two steps.
+
+    The blocks, of one size, make up an array of the given length; the driver gets one row for each block.
+    """
+    total = np.zeros(length, dtype)
+    some = parts.groupBy("block", (F.spark_partition_id() % 64).alias("salt")).applyInArrow(on_groups(_sum_group, dtype=dtype), "block int, values binary")
+    for r in some.groupBy("block").applyInArrow(on_groups(_sum_group, dtype=dtype), "block int, values binary").toLocalIterator():
+        part = _unpack(bytes(r["values"]), dtype)
+        total[r.block * len(part) : (r.block + 1) * len(part)] += part
+    return total
+
+
 def salted_rank(df: DataFrame, keys: list[str], order: list, salt_by: list[str], rows_per_salt: int = 50_000, name: str = "rank") -> DataFrame:
     """Add a rank from 0 within each key without bringing a hot key into one task.
 
