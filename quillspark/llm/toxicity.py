@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import IdFilter, Scratch
+from quillspark.llm.common import IdFilter, Scratch, mix64
 from quillspark.llm.kernels import LOWER, LOWER_BYTE_HASH, text_slices, word_bounds, word_hashes
 
 ORDER = 6
@@ -156,7 +156,7 @@ def _added(g: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Scorer:
     """Features of texts; words that a task has met keep their ratios."""
 
-    FEATURES = 5
+    FEATURES = 8
 
     def __init__(self, model: KneserNey):
         self.model = model
@@ -179,13 +179,15 @@ class Scorer:
         return self.known[np.searchsorted(self.hashes, u)][inverse]
 
     def features(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """For each text: the ratio a byte of the whole text and of its most telling expression, that one's and the next one's ratio, and how many stand out."""
+        """For each text, of the ratios of its words: the mean a byte, the largest a byte, the two largest,
+        how many stand out, and the sum of what lies above 1, alone, a byte and among different words."""
         n = len(offsets) - 1
         out = np.zeros((n, self.FEATURES))
         starts, ends, at = word_bounds(data, offsets)
         if not len(starts):
             return out
-        s = self.words(data, starts, ends, word_hashes(data, starts, LOWER_BYTE_HASH)).astype(np.float64)
+        h = word_hashes(data, starts, LOWER_BYTE_HASH)
+        s = self.words(data, starts, ends, h).astype(np.float64)
         size = (ends - starts + 1).astype(np.float64)
         full = np.flatnonzero(np.diff(at))
         heads = at[full]
@@ -195,6 +197,12 @@ class Scorer:
         out[full, 2] = top / 3
         out[full, 4] = np.log1p(np.add.reduceat((s > 3).astype(np.float64), heads))
         own = np.repeat(np.arange(len(full)), np.diff(np.append(heads, len(s))))
+        above = np.maximum(s - 1, 0)
+        total = np.add.reduceat(above, heads)
+        out[full, 5] = np.log1p(total)
+        out[full, 6] = np.minimum(total / np.add.reduceat(size, heads) * 30, 3)
+        _, rep = np.unique(mix64(h ^ own.astype(np.uint64)), return_index=True)
+        out[full, 7] = np.log1p(np.bincount(own[rep], above[rep], len(full)))
         place = np.full(len(full), len(s))
         where = np.flatnonzero(s == top[own])
         place[own[where[::-1]]] = where[::-1]
@@ -259,7 +267,7 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
     scratch.drop(texts, grams)
     y = np.array(known.column("label").to_pylist(), np.float64)
     if len(set(y)) < 2:
-        return model, np.array([0.5, 1.0, 1.0, 0.5, 1.0, -5.0])
+        return model, np.array([0.5, 1.0, 1.0, 0.5, 1.0, 0.0, 0.0, 0.0, -5.0])
     return model, logistic(np.array(known.column("x").to_pylist()), y)
 
 
