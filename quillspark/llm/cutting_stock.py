@@ -27,37 +27,60 @@ def knapsack(values: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[fl
     return float(best[capacity]), pattern
 
 
-def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 2e-4, most_columns: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+def greedy_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A first basis (columns are patterns) and its non-negative solution.
+
+    Bars are filled as exactly as possible from the largest length down, and each pattern is repeated, in
+    parts of bars too, until it uses up a length; that length owns the pattern's column.
+    """
+    m, left = len(lengths), demand.astype(np.float64).copy()
+    place = {int(k): i for i, k in enumerate(lengths)}
+    basis, x, open_ = np.zeros((m, m)), np.zeros(m), set(range(m))
+    while open_:
+        own = fill_exactly({int(lengths[i]): capacity // int(lengths[i]) for i in open_}, capacity)
+        column = np.zeros(m)
+        for k, n in own.items():
+            column[place[k]] = n
+        rows = [place[k] for k in own]
+        r = min(rows, key=lambda i: (left[i] / column[i], i))
+        t = left[r] / column[r]
+        left -= t * column
+        basis[:, r], x[r] = column, t
+        open_.remove(r)
+    return basis, x
+
+
+def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3, most_columns: int = 4000) -> tuple[np.ndarray, np.ndarray]:
     """(patterns, times) of the linear program, by revised simplex with priced columns.
 
-    It stops when Farley's bound proves the bars within gap of the least possible.
+    It stops when Farley's bound, or the demand's total length, proves the bars within gap of the least possible.
     """
-    m = len(lengths)
-    basis = np.diag(capacity // lengths).astype(np.float64)  # columns: patterns
-    inverse = np.diag(1.0 / (capacity // lengths))
-    x = inverse @ demand
+    basis, x = greedy_basis(lengths, demand, capacity)
+    inverse = np.linalg.inv(basis)
+    bound = float(lengths @ demand) / capacity
     for turn in range(most_columns):
+        if x.sum() <= bound * (1 + gap):
+            break
         y = inverse.sum(0)  # all costs are 1
         value, column = knapsack(np.maximum(y, 0), lengths, capacity)
-        if value <= 1 + 1e-9 or x.sum() * (1 - 1 / value) <= gap * x.sum() / value:
+        bound = max(bound, x.sum() / max(value, 1.0))
+        if value <= 1 + 1e-9:
             break
         d = inverse @ column
         up = d > 1e-10
-        ratio = np.full(m, np.inf)
+        ratio = np.full(len(lengths), np.inf)
         ratio[up] = np.maximum(x[up], 0) / d[up]
         r = int(ratio.argmin())
-        t = ratio[r]
-        x = x - t * d
-        x[r] = t
+        x = x - ratio[r] * d
+        x[r] = ratio[r]
         basis[:, r] = column
         inverse[r] /= d[r]
-        others = d.copy()
-        others[r] = 0
-        inverse -= np.outer(others, inverse[r])
+        d[r] = 0
+        inverse -= np.outer(d, inverse[r])
         if turn % 200 == 199:
             inverse = np.linalg.inv(basis)
-            x = inverse @ demand
-    return basis.T.astype(np.int64), np.maximum(x, 0)
+            x = np.maximum(inverse @ demand, 0)
+    return np.rint(basis.T).astype(np.int64), np.maximum(x, 0)
 
 
 def fill_exactly(counts: dict[int, int], capacity: int) -> dict[int, int]:

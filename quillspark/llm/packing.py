@@ -20,7 +20,7 @@ from quillspark.llm.common import Scratch, salted_rank
 from quillspark.llm.cutting_stock import plan
 
 #: Tokens in one unit of the histogram.
-UNIT = 8
+UNIT = 4
 CACHED_WORDS = 600_000
 
 
