@@ -115,10 +115,8 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     ordered = nodes.select("id", "d", "v").mapInArrow(lambda b: _keys(b, passes, seed), "d int, pass int, key long, id long, v binary")
     ordered = ordered.repartitionByRange(parts, "d", "pass", "key", "id").sortWithinPartitions("d", "pass", "key", "id")
     ordered = scratch.save(ordered.mapInArrow(_numbered, "d int, pass int, key long, id long, v binary, part int, place long"))
-    before = np.zeros(parts + 1, np.int64)
-    for r in ordered.groupBy("part").count().collect():  # one row for each partition
-        before[r.part + 1] = r["count"]
-    starts = F.lit(np.cumsum(before)[:-1].tolist())
+    counts = {r.part: r["count"] for r in ordered.groupBy("part").count().collect()}  # one row for each partition
+    starts = F.lit(np.cumsum([0, *(counts.get(k, 0) for k in range(max(counts, default=0)))]).tolist())
     ranked = ordered.withColumn("rank", F.element_at(starts, F.col("part") + 1) + F.col("place"))
     block = F.floor(F.col("rank") / BLOCK)
     ranked = ranked.withColumn("block", F.explode(F.when((F.col("rank") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))))
