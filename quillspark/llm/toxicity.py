@@ -41,7 +41,7 @@ def gram_keys(code: np.ndarray, heads: np.ndarray, k: int) -> np.ndarray:
     """For each byte, its k-gram (the byte last) with the order in the top byte; -1 where its word has too few bytes before it."""
     place = np.arange(len(code)) - np.repeat(heads, np.diff(np.append(heads, len(code))))
     key = np.zeros(len(code), np.int64)
-    for j in range(k):
+    for j in range(min(k, len(code))):
         key[j:] |= code[: len(code) - j].astype(np.int64) << (8 * j)
     key |= k << 56
     key[place < k - 1] = -1
