@@ -239,9 +239,13 @@ def _labelled_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int, seed: int):
-    """(model, weights), or None without texts of both classes; counts come from four fifths of all labelled texts, the calibration from the rest."""
-    texts = scratch.save(_labelled_texts(docs, marks).withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(5))))
-    grams = scratch.save(texts.where("fold > 0").select("text", "label").mapInArrow(_count, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
+    """(model, weights), or None without texts of both classes; counts come from four fifths of all labelled texts, the calibration from the rest.
+
+    Counting reads the joined texts once, so they are not kept; the calibration's rows are bounded and broadcast.
+    """
+    marks = scratch.save(marks.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(5))))
+    texts = _labelled_texts(docs, marks.where("fold > 0").select("id", "label"))
+    grams = scratch.save(texts.select("text", "label").mapInArrow(_count, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
     n, low = grams.count(), 1
     while n > MAX_GRAMS:
         low *= 2
@@ -261,10 +265,11 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
                 x = scorer.features(data, offsets)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(x)), pa.array(x.tolist(), pa.list_(pa.float64())), b.column(2).slice(first, len(x))], ["id", "x", "label"])
 
-    apart = texts.where("fold = 0")
+    apart = marks.where("fold = 0").select("id", "label")
     share = min(1.0, sample_rows / max(apart.count(), 1))
-    known = apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).select("id", "text", "label").mapInArrow(features, "id long, x array<double>, label int").limit(2 * sample_rows).toArrow().sort_by("id")
-    scratch.drop(texts, grams)
+    some = apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows)
+    known = docs.join(F.broadcast(some), "id").select("id", "text", "label").mapInArrow(features, "id long, x array<double>, label int").limit(4 * sample_rows).toArrow().sort_by("id")
+    scratch.drop(marks, grams)
     y = np.array(known.column("label").to_pylist(), np.float64)
     if len(set(y)) < 2:
         return model, np.array([0.5, 1.0, 1.0, 0.5, 1.0, 0.0, 0.0, 0.0, -5.0])
