@@ -285,11 +285,14 @@ def cross_split_leak(spark, sf_dir):
     return dedup.cross_split_leaks(members, ("transcript_sha256",))
 
 
-@query()
+_TERMS = "['licensed', 'under', 'the', 'apache', 'license']"
+
+
+@query(f"WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS average FROM d), p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE list_contains({_TERMS}, term) GROUP BY 1, 2), f AS (SELECT term, greatest(ln((n - count(*) + 0.5) / (count(*) + 0.5)), 1e-6) AS idf FROM p, n GROUP BY term, n), s AS (SELECT p.doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(w) / average))) AS score, count(*)::BIGINT AS matched FROM p JOIN f USING (term) JOIN d ON d.doc_id = p.doc_id, n GROUP BY 1) SELECT doc_id, matched FROM s ORDER BY round(score, 9) DESC, doc_id LIMIT 50")
 def bm25_topk(spark, sf_dir):
     index, lengths = search.postings(read(spark, sf_dir, "documents"), "doc_id", "text")
     hits = search.bm25(index, lengths, "doc_id", search.query_tokens("licensed under the apache license"))
-    return hits.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(50)
+    return hits.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(50).select("doc_id", "matched")
 
 
 @query("WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], (SELECT v FROM q)::DOUBLE[]) AS score FROM embeddings) SELECT vec_id FROM s ORDER BY round(score, 9) DESC, vec_id LIMIT 25")
