@@ -235,7 +235,7 @@ def _labelled_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
             if own.any():
                 yield b.filter(pa.array(own))
 
-    return docs.where("id is not null").mapInArrow(some, "id long, text string").join(marks, "id").select("id", "text", "label")
+    return docs.where("id is not null").mapInArrow(some, "id long, text string").join(marks.hint("merge"), "id").select("id", "text", "label")
 
 
 def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int, seed: int):
