@@ -305,7 +305,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = spark.sparkContext.broadcast(IdFilter.of(chosen, "id"))
     sets = own.mapInArrow(partial(_sets_of, k=k, wanted=wanted), "id long, shingles binary")
     chunk = F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
-    placed = chosen.join(large, "block").withColumn("chunk", chunk).join(sets, "id")
+    placed = chosen.join(large, "block").withColumn("chunk", chunk).join(sets.hint("merge"), "id")
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select("block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "id", (F.col("chunk") > F.col("other")).cast("int").alias("side"), "shingles")
     links = scratch.save(cells.groupBy("block", "i", "j").applyInArrow(on_groups(_cell_links, percent=percent), "a long, b long"))
     groups = connected_components(links, scratch)
