@@ -94,5 +94,5 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     Rows that share an id share its copies evenly, rounded down.
     """
     copies = mix_sources(docs, id_col=id_col, **options).groupBy(F.col(id_col).alias("_id")).agg(F.floor(F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies")).where("_copies > 0")
-    joined = docs.join(copies, docs[id_col].eqNullSafe(copies["_id"]))
+    joined = docs.join(copies.hint("merge"), docs[id_col].eqNullSafe(copies["_id"]))  # one plan at every size
     return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
