@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillspark.functions.text import let
+
 # Fixed values.
 OBJECTIVES = ("full_script", "hook", "continuation", "structure", "section", "cta", "measurable_style")
 TIERS = ("eligible", "marginal", "ineligible")
@@ -26,13 +28,16 @@ def _reasons(*pairs: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, r in pairs]))
 
 
-def objective_results() -> Column:
-    """array of (objective, tier, reasons) from word_count, sentence_count, hooks, hook_confidence, n_beats, has_cta, words_per_second."""
-    w, s, beats, conf = F.col("word_count"), F.col("sentence_count"), F.col("n_beats"), F.col("hook_confidence")
-    hook = F.size("hooks") > 0
-    real_hook = F.exists("hooks", lambda h: (h != "") & (h != "none"))
+EVIDENCE = ("word_count", "sentence_count", "hooks", "hook_confidence", "n_beats", "has_cta", "words_per_second")
+
+
+def objective_results(e: Column) -> Column:
+    """array of (objective, tier, reasons) from a struct of the EVIDENCE fields."""
+    w, s, beats, conf = e["word_count"], e["sentence_count"], e["n_beats"], e["hook_confidence"]
+    hook = F.size(e["hooks"]) > 0
+    real_hook = F.exists(e["hooks"], lambda h: (h != "") & (h != "none"))
     silent = w == 0
-    rep = F.coalesce(F.col("words_per_second") > FASTEST_SPEECH, F.lit(False))
+    rep = F.coalesce(e["words_per_second"] > FASTEST_SPEECH, F.lit(False))
     none = F.array().cast("array<string>")
     quiet = F.array(F.lit("no_spoken_transcript"))
 
@@ -55,7 +60,7 @@ def objective_results() -> Column:
         _result("continuation", ladder(go_on, part), why(go_on, part, F.array(F.lit("transcript_too_short_for_continuation")), _reasons((w < 30, "continuation_opening_insufficient"), (s < 2, "insufficient_sentence_count")))),
         _result("structure", ladder(plan, outline), why(plan, outline, F.array(F.lit("insufficient_structure")), F.array(F.lit("insufficient_structure")))),
         _result("section", ladder(w >= 20, w >= 8), why(w >= 20, w >= 8, F.array(F.lit("useful_for_section_only")), F.array(F.lit("transcript_too_sparse_for_full_script")))),
-        _result("cta", ladder(F.col("has_cta"), never), why(F.col("has_cta"), never, none, F.array(F.lit("cta_absent")), F.array(F.lit("no_spoken_transcript"), F.lit("cta_absent")))),
+        _result("cta", ladder(e["has_cta"], never), why(e["has_cta"], never, none, F.array(F.lit("cta_absent")), F.array(F.lit("no_spoken_transcript"), F.lit("cta_absent")))),
         _result("measurable_style", ladder(w >= 50, w >= 20), why(w >= 50, w >= 20, F.array(F.lit("style_evidence_insufficient")), F.array(F.lit("style_evidence_insufficient")))),
     )
 
@@ -79,7 +84,7 @@ def unknown_subsystems() -> Column:
 
 def assess(records: DataFrame, subsystems: Column | None = None) -> DataFrame:
     """records with objectives, subsystems, any_eligible, any_marginal, primary_reasons and routing_tags."""
-    out = records.withColumn("objectives", objective_results()).withColumn("subsystems", unknown_subsystems() if subsystems is None else subsystems)
+    out = records.withColumn("objectives", let(F.struct(*EVIDENCE), objective_results)).withColumn("subsystems", unknown_subsystems() if subsystems is None else subsystems)
     has = lambda tier: F.exists("objectives", lambda o: o["tier"] == tier)
     out = out.withColumn("any_eligible", has("eligible")).withColumn("any_marginal", has("marginal"))
     tags = F.transform(F.filter("subsystems", lambda s: s["tier"] != "ineligible"), lambda s: s["subsystem"])
@@ -89,7 +94,10 @@ def assess(records: DataFrame, subsystems: Column | None = None) -> DataFrame:
 
 def primary_reasons(objectives: Column, most: int = 3) -> Column:
     """The commonest reasons of ineligible objectives; ties go to the one that came first."""
-    said = F.flatten(F.transform(F.filter(objectives, lambda o: o["tier"] == "ineligible"), lambda o: o["reasons"]))
+    return let(F.flatten(F.transform(F.filter(objectives, lambda o: o["tier"] == "ineligible"), lambda o: o["reasons"])), lambda said: _commonest(said, most))
+
+
+def _commonest(said: Column, most: int) -> Column:
     ranked = F.transform(F.array_distinct(said), lambda r: F.struct((-F.size(F.filter(said, lambda x: x == r))).alias("n"), F.array_position(said, r).alias("at"), r.alias("reason")))
     return F.slice(F.transform(F.array_sort(ranked), lambda x: x["reason"]), 1, most)
 
