@@ -1,8 +1,10 @@
 """Embedding near-dedup by sorted projection passes.
 
-Each pass concatenates random hash bits into a key, orders all vectors by it and compares every vector
-with a bounded window of the ones after it. Verified pairs of all passes are united. Since a window
-cannot reach all of a large group, the links inside every component are then counted exactly, in cells.
+Each pass concatenates random hash bits (of directions with their mean taken off) into a key, orders all
+vectors by it and compares every vector with a bounded window of the ones after it. Verified pairs of all
+passes are united. Passes run in rounds: as many as the number of vectors asks for, then on until a round
+joins next to nothing. Since a window cannot reach all of a large group, the links inside every component
+are then counted exactly, in cells.
 """
 
 from __future__ import annotations
@@ -24,7 +26,35 @@ CELL = 2048
 KEY_BITS = 60
 
 
-def _keys(batches, passes: int, seed: int):
+def passes_needed(n: int, threshold: float, window: int, recall: float) -> int:
+    """Passes after which a pair at the threshold, among n spread vectors, has come into some window with probability recall.
+
+    A window holds the vectors that share the first log2(n / window) bits; a bit agrees with probability 1 - angle / pi.
+    """
+    bits = min(max(np.log2(max(n, 1) / window), 0), KEY_BITS)
+    met = (1 - np.arccos(np.clip(threshold, 0, 1)) / np.pi) ** bits
+    return 1 if met >= 1 else int(np.ceil(np.log(1 - recall) / np.log1p(-met)))
+
+
+def _sums(batches):
+    """(d, n, total): the number and the sum of the directions of each length."""
+    held: dict[int, list] = {}
+    for b in batches:
+        dims = b.column(0).to_numpy(zero_copy_only=False)
+        for d in np.unique(dims):
+            y = unit(matrix(b.column(1).take(pa.array(np.flatnonzero(dims == d))), int(d)))
+            n, total = held.get(int(d), (0, 0))
+            held[int(d)] = n + len(y), total + y.sum(0)
+    for d, (n, total) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["d", "n", "total"])
+
+
+def _summed(key, table):
+    total = sum(np.frombuffer(x) for x in table.column("total").to_pylist())
+    return pa.table({"d": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+
+def _keys(batches, passes: int, seed: list[int], means: dict[int, np.ndarray]):
     """A row for each vector and pass, with the pass's key."""
     planes: dict[int, np.ndarray] = {}
     weights = np.int64(1) << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
@@ -33,9 +63,9 @@ def _keys(batches, passes: int, seed: int):
         for d in np.unique(dims):
             own = np.flatnonzero(dims == d)
             part = b.take(pa.array(own))
-            x = matrix(part.column(2), int(d)).astype(np.float32)
+            x = (unit(matrix(part.column(2), int(d))) - means[int(d)]).astype(np.float32)
             if d not in planes:
-                planes[d] = np.random.default_rng([seed, int(d)]).standard_normal((passes, int(d), KEY_BITS), np.float32)
+                planes[d] = np.random.default_rng([*seed, int(d)]).standard_normal((passes, int(d), KEY_BITS), np.float32)
             for p in range(passes):
                 key = ((x @ planes[d][p]) > 0) @ weights
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(np.full(len(own), p, np.int32)), pa.array(key), part.column(0), part.column(2)], ["d", "pass", "key", "id", "v"])
@@ -96,13 +126,31 @@ def _count_links(key, table, threshold: float):
     return pa.table({"id": pa.array(ids), "links": pa.array(out)})
 
 
-def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, passes: int = 24, window: int = 32, seed: int = 11) -> DataFrame:
+def _round(nodes: DataFrame, scratch: Scratch, parts: int, passes: int, seed: list[int], means: dict[int, np.ndarray], threshold: float, window: int) -> DataFrame:
+    """Spanning links (a, b) of the pairs that the windows of some passes verify."""
+    ordered = nodes.select("id", "d", "v").mapInArrow(lambda b: _keys(b, passes, seed, means), "d int, pass int, key long, id long, v binary")
+    ordered = ordered.repartitionByRange(parts, "d", "pass", "key", "id").sortWithinPartitions("d", "pass", "key", "id")
+    ordered = scratch.save(ordered.mapInArrow(_numbered, "d int, pass int, key long, id long, v binary, part int, place long"))
+    counts = {r.part: r["count"] for r in ordered.groupBy("part").count().collect()}  # one row for each partition
+    starts = F.lit(np.cumsum([0, *(counts.get(k, 0) for k in range(max(counts, default=0)))]).tolist())
+    ranked = ordered.withColumn("rank", F.element_at(starts, F.col("part") + 1) + F.col("place"))
+    block = F.floor(F.col("rank") / BLOCK)
+    ranked = ranked.withColumn("block", F.explode(F.when((F.col("rank") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))))
+    pairs = ranked.select("block", "rank", "d", "pass", "id", "v").groupBy("block").applyInArrow(on_groups(_window_links, threshold=threshold, window=window), "a long, b long")
+    links = scratch.save(pairs)
+    scratch.drop(ordered)
+    return links
+
+
+def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.9, passes: int = 24, window: int = 32, seed: int = 11, recall: float = 0.999) -> DataFrame:
     """Link vectors of cosine threshold or more and group them.
 
     Returns a row for each vector: the id column, n_links (other vectors linked directly), component_id
     (smallest id that links reach, its own included) and kept (whether its id is that). Vectors that are
     null, empty, zero or hold null or non-finite components, and vectors of different lengths, link with
-    nothing. Equal vectors are collapsed before the passes and counted as links. A row that repeats both
+    nothing. Rounds of so many passes run until a pair at the threshold would be found with probability
+    recall if vectors were spread, and on until a round's joins are at most 1 - recall of all. Equal
+    vectors are collapsed before the passes and counted as links. A row that repeats both
     id and vector counts once; different vectors under one id give a row each. Rows with a null id are
     left out; an empty table gives an empty result; other columns are ignored.
     """
@@ -111,18 +159,21 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     ids = vectors.where(F.col(id_col).isNotNull())
     held = scratch.save(packed(ids, id_col, vec_col).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(7), "v")).dropDuplicates(["id", "h1", "h2"]))
     nodes = scratch.save(held.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("d").alias("d"), F.first("v").alias("v")))
-    parts = max(spark.sparkContext.defaultParallelism, -(-nodes.count() * passes // 200_000))
-    ordered = nodes.select("id", "d", "v").mapInArrow(lambda b: _keys(b, passes, seed), "d int, pass int, key long, id long, v binary")
-    ordered = ordered.repartitionByRange(parts, "d", "pass", "key", "id").sortWithinPartitions("d", "pass", "key", "id")
-    ordered = scratch.save(ordered.mapInArrow(_numbered, "d int, pass int, key long, id long, v binary, part int, place long"))
-    counts = {r.part: r["count"] for r in ordered.groupBy("part").count().collect()}  # one row for each partition
-    starts = F.lit(np.cumsum([0, *(counts.get(k, 0) for k in range(max(counts, default=0)))]).tolist())
-    ranked = ordered.withColumn("rank", F.element_at(starts, F.col("part") + 1) + F.col("place"))
-    block = F.floor(F.col("rank") / BLOCK)
-    ranked = ranked.withColumn("block", F.explode(F.when((F.col("rank") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))))
-    pairs = ranked.select("block", "rank", "d", "pass", "id", "v").groupBy("block").applyInArrow(on_groups(_window_links, threshold=threshold, window=window), "a long, b long")
-    groups = scratch.save(connected_components(pairs, scratch))
-    scratch.drop(ordered)
+    n = nodes.count()
+    parts = max(spark.sparkContext.defaultParallelism, -(-n * passes // 200_000))
+    sums = nodes.select("d", "v").mapInArrow(_sums, "d int, n long, total binary").groupBy("d").applyInArrow(_summed, "d int, n long, total binary")
+    means = {r.d: np.frombuffer(bytes(r.total)) / r.n for r in sums.collect()}  # one row for each length
+    need, done, joined, groups = passes_needed(n, threshold, window, recall), 0, 0, None
+    while True:
+        found = _round(nodes, scratch, parts, passes, [seed, done], means, threshold, window)
+        links = found if groups is None else found.union(groups.select("node", "component"))
+        after = scratch.save(connected_components(links, scratch))
+        scratch.drop(found, *([] if groups is None else [groups]))
+        groups = after
+        r = groups.agg(F.count(F.lit(1)).alias("nodes"), F.count_distinct("component").alias("components")).first()
+        before, joined, done = joined, r.nodes - r.components, done + passes
+        if done >= need and joined - before <= (1 - recall) * joined:
+            break
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size")).withColumn("cells", F.ceil(F.col("size") / CELL).cast("int"))
     placed = groups.join(sizes, "component").join(nodes.select("id", "copies", "d", "v"), F.col("node") == F.col("id")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
     bins = max(1, -(-groups.count() // CELL))

@@ -77,3 +77,32 @@ def test_neighbours_of_few_or_odd_vectors(spark):
     rows = nearest_neighbours(frame(spark, vectors()[600:608], odd), lambda i: i % 20 == 0, 20).collect()
     assert {r.query_id for r in rows} == {0} and sorted(r.vec_id for r in rows) == list(range(1, 8))
     assert nearest_neighbours(frame(spark, vectors()[600:608]).limit(0), lambda i: i % 20 == 0, 20).count() == 0
+
+
+def test_passes_follow_from_the_row_count():
+    from quillspark.llm.vector_dedup import passes_needed
+
+    assert passes_needed(20, 0.9, 32, 0.999) == 1
+    assert 24 < passes_needed(100_000, 0.9, 32, 0.999) < passes_needed(10_000_000, 0.9, 32, 0.999)
+    for n in (10_000, 1_000_000, 100_000_000):
+        met = (1 - np.arccos(0.9) / np.pi) ** np.log2(n / 32)
+        assert 1 - (1 - met) ** passes_needed(n, 0.9, 32, 0.999) >= 0.999
+
+
+def test_dedup_finds_pairs_of_vectors_with_a_common_mean(spark):
+    g = np.random.default_rng(5)
+    n, d = 1500, 48
+    z = g.standard_normal((n, d))
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    noise = g.standard_normal((n, d))
+    noise -= (noise * z).sum(1, keepdims=True) * z
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    mean = np.zeros(d)
+    mean[0] = 1.8
+    x = np.concatenate([z + mean, np.cos(0.88) * z + np.sin(0.88) * noise + mean])
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = y @ y.T >= 0.9
+    np.fill_diagonal(near, False)
+    out = {r.vec_id: r.n_links for r in embedding_near_dedup(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    found, true = sum(out.values()), int(near.sum())
+    assert true > 2000 and 0.995 * true <= found <= true
