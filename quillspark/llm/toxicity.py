@@ -21,8 +21,6 @@ ORDER = 6
 SHARED = 2
 DISCOUNT = 0.75
 EDGE = 32
-#: Grams that the model holds at most; the count below which grams of higher orders are left out rises beyond that.
-MAX_GRAMS = 2_000_000
 
 
 def framed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,11 +244,7 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
     marks = scratch.save(marks.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(5))))
     texts = _labelled_texts(docs, marks.where("fold > 0").select("id", "label"))
     grams = scratch.save(texts.select("text", "label").mapInArrow(_count, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
-    n, low = grams.count(), 1
-    while n > MAX_GRAMS:
-        low *= 2
-        n = grams.where(F.col("c0") + F.col("c1") >= low).count()
-    table = grams.where(F.col("c0") + F.col("c1") >= low).toArrow()  # MAX_GRAMS rows at most
+    table = grams.toArrow()  # a row for each different gram, none left out
     gram, c0, c1 = (table.column(c).to_numpy() for c in ("gram", "c0", "c1"))
     if not c0.any() or not c1.any():
         return None

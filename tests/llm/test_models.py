@@ -160,3 +160,21 @@ def test_toxicity_of_odd_texts(spark):
     assert len(out) == 5 and all(0 <= r.score <= 1 for r in out)
     assert {r.score for r in score_toxicity(df, labels.where("toxic = 1")).collect()} == {0.0}
     assert score_toxicity(df.limit(0), labels).count() == 0
+
+
+def test_toxicity_leaves_no_gram_out(spark, monkeypatch):
+    import quillspark.llm.toxicity as toxicity
+
+    monkeypatch.setattr(toxicity, "MAX_GRAMS", 300, raising=False)
+    rng = random.Random(8)
+    plain = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("nt", "rl", "st", "mp")]
+    rare = [f"{a}{b}q" for a in ("zx", "vj", "wz") for b in ("yh", "uw", "yw", "uh")]
+    rows, learn = [], []
+    for i in range(600):
+        toxic = i % 10 == 0
+        rows.append((i, " ".join([*(rng.choice(plain) for _ in range(30)), *([rare[i // 10 % 12]] if toxic else [])])))
+        learn.append((i, int(toxic)))
+    asked = [(1000 + k, " ".join([*(rng.choice(plain) for _ in range(30)), *([w] if w else [])])) for k, w in enumerate([*rare, *[""] * 12])]
+    df = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    out = {r.doc_id: r.score for r in score_toxicity(df, spark.createDataFrame(learn, "doc_id long, toxic int")).collect()}
+    assert [out[1000 + k] >= 0.3 for k in range(24)] == [True] * 12 + [False] * 12
