@@ -4,7 +4,8 @@ Byte n-grams of the words of all labelled texts are counted for each class. With
 SHARED back off to each other by interpolated Kneser-Ney smoothing; below, both classes share one backoff
 distribution, so that rare expressions are compared by what their parts say. The log-likelihoods of a
 text under the two models are compared, normalised by length, for the whole text and for its most telling
-expressions; a logistic calibration on held-back labelled texts turns that into a probability.
+expressions; a logistic calibration turns that into a probability. It is fitted on a bounded sample of the
+labelled texts under a model of the others; the model that scores has counted the sample too.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ ORDER = 6
 SHARED = 2
 DISCOUNT = 0.75
 EDGE = 32
+#: Weights of the features where no calibration can be fitted.
+UNFITTED = np.array([0.5, 1.0, 1.0, 0.5, 1.0, 0.0, 0.0, 0.0, -5.0])
 
 
 def framed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,21 +239,46 @@ def _labelled_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return docs.where("id is not null").mapInArrow(some, "id long, text string").join(marks.hint("merge"), "id").select("id", "text", "label")
 
 
+def _grams(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gram, ordinary, toxic) of (text, label) rows, a row for each different gram, in order."""
+    table = texts.select("text", "label").mapInArrow(_count, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")).toArrow()
+    gram, c0, c1 = (table.column(c).to_numpy() for c in ("gram", "c0", "c1"))
+    order = np.argsort(gram)
+    return gram[order], c0[order], c1[order]
+
+
+def _merged(a, b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    gram, i = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    out = np.zeros((2, len(gram)), np.int64)
+    for c in (0, 1):
+        np.add.at(out[c], i, np.concatenate([a[c + 1], b[c + 1]]))
+    return gram, out[0], out[1]
+
+
 def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int, seed: int):
-    """(model, weights), or None without texts of both classes; counts come from four fifths of all labelled texts, the calibration from the rest.
+    """(model, weights), or None without texts of both classes; counts come from all labelled texts.
 
-    Counting reads the joined texts once, so they are not kept; the calibration's rows are bounded and broadcast.
+    The calibration's sample, a fifth of the labelled ids and about sample_rows at most, is counted apart: the
+    weights are fitted on it under a model of the other texts. Counting reads the joined texts once, so only the
+    sample's are kept.
     """
     marks = scratch.save(marks.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(5))))
-    texts = _labelled_texts(docs, marks.where("fold > 0").select("id", "label"))
-    grams = scratch.save(texts.select("text", "label").mapInArrow(_count, "gram long, c0 long, c1 long").groupBy("gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")))
-    table = grams.toArrow()  # a row for each different gram, none left out
-    gram, c0, c1 = (table.column(c).to_numpy() for c in ("gram", "c0", "c1"))
-    if not c0.any() or not c1.any():
+    apart = marks.where("fold = 0").select("id", "label")
+    share = min(1.0, sample_rows / max(apart.count(), 1))
+    some = scratch.save(apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows))
+    sample = scratch.save(docs.join(F.broadcast(some), "id").select("id", "text", "label"))
+    texts = _labelled_texts(docs, marks.select("id", "label").join(F.broadcast(some.select("id")), "id", "left_anti"))
+    most, rest = _grams(texts), _grams(sample)
+    scratch.drop(marks, some)
+    whole = _merged(most, rest)
+    if not whole[1].any() or not whole[2].any():
+        scratch.drop(sample)
         return None
-    order = np.argsort(gram)
-    model = KneserNey(gram[order], c0[order], c1[order])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model = KneserNey(*whole)
+    if not most[1].any() or not most[2].any():
+        scratch.drop(sample)
+        return model, UNFITTED
+    shared = docs.sparkSession.sparkContext.broadcast(KneserNey(*most))
 
     def features(batches):
         scorer = Scorer(shared.value)
@@ -259,14 +287,11 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
                 x = scorer.features(data, offsets)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(x)), pa.array(x.tolist(), pa.list_(pa.float64())), b.column(2).slice(first, len(x))], ["id", "x", "label"])
 
-    apart = marks.where("fold = 0").select("id", "label")
-    share = min(1.0, sample_rows / max(apart.count(), 1))
-    some = apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows)
-    known = docs.join(F.broadcast(some), "id").select("id", "text", "label").mapInArrow(features, "id long, x array<double>, label int").limit(4 * sample_rows).toArrow().sort_by("id")
-    scratch.drop(marks, grams)
+    known = sample.mapInArrow(features, "id long, x array<double>, label int").limit(4 * sample_rows).toArrow().sort_by("id")
+    scratch.drop(sample)
     y = np.array(known.column("label").to_pylist(), np.float64)
     if len(set(y)) < 2:
-        return model, np.array([0.5, 1.0, 1.0, 0.5, 1.0, 0.0, 0.0, 0.0, -5.0])
+        return model, UNFITTED
     return model, logistic(np.array(known.column("x").to_pylist()), y)
 
 

@@ -178,3 +178,21 @@ def test_toxicity_leaves_no_gram_out(spark, monkeypatch):
     df = spark.createDataFrame(rows + asked, "doc_id long, text string")
     out = {r.doc_id: r.score for r in score_toxicity(df, spark.createDataFrame(learn, "doc_id long, toxic int")).collect()}
     assert [out[1000 + k] >= 0.3 for k in range(24)] == [True] * 12 + [False] * 12
+
+
+def test_toxicity_counts_the_calibration_texts_too(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    plain = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("nt", "rl", "st", "mp")]
+    apart = {r.id for r in spark.range(600).where(F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(5)) == 0).collect()}
+    rows, learn = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        word = ["zxqvy", "vjwhz"][i in apart and i % 24 == 0]  # the second only in some of the texts that calibrate
+        rows.append((i, " ".join([*(rng.choice(plain) for _ in range(30)), *([word] * 2 if toxic else [])])))
+        learn.append((i, int(toxic)))
+    asked = [(1000 + k, " ".join([*(rng.choice(plain) for _ in range(30)), w])) for k, w in enumerate(["vjwhz vjwhz"] * 5 + ["bent"] * 5)]
+    df = spark.createDataFrame(rows + asked, "doc_id long, text string")
+    out = {r.doc_id: r.score for r in score_toxicity(df, spark.createDataFrame(learn, "doc_id long, toxic int")).collect()}
+    assert [out[1000 + k] >= 0.3 for k in range(10)] == [True] * 5 + [False] * 5
