@@ -25,6 +25,8 @@ LOWER[65:91] += 32
 _BYTE_HASH = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 _BYTE_HASH[SPACE] = 0
 LOWER_BYTE_HASH = _BYTE_HASH[LOWER]
+#: For hashes that tell letters of either case apart.
+EXACT_BYTE_HASH = _BYTE_HASH
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,33 +19,119 @@ from pyspark.sql.window import Window
 
 from quillspark.llm.common import Scratch, salted_rank
 from quillspark.llm.cutting_stock import plan
+from quillspark.llm.kernels import EXACT_BYTE_HASH, text_slices, word_bounds, word_hashes
 
 #: Tokens in one unit of the histogram.
 UNIT = 4
-CACHED_WORDS = 600_000
+#: Words whose tokens a task keeps.
+CACHED_WORDS = 1 << 20
 
 
-class WordTokens(dict):
-    """Token ids (little-endian unsigned 32-bit) of words between ASCII white space, which the tokenizer never joins."""
+class WordTokens:
+    """Token ids of words between ASCII white space, which the tokenizer never joins; words are known by 64-bit hashes.
+
+    Hashes lie in an open-addressed table of four times CACHED_WORDS places, so that all words of a slice are looked
+    up at once.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words) -> None:
-        fresh = [w for w in words if w not in self]
-        texts = [w.decode("utf-8", "replace") for w in fresh]
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
-
-    def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join([self[w] for w in words])
-        except KeyError:
-            self.learn(set(words))
-            return b"".join([self[w] for w in words])
+        self.shift = np.uint64(64 - (4 * CACHED_WORDS - 1).bit_length())
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(1 << (64 - int(self.shift)), np.uint64)
+        self.words = np.zeros(len(self.hashes), np.int32)
+        self.known, self.used = 0, 0
+        self.first, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)  # first[w] to first[w + 1]
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each word, or -1."""
+        at, out = (h >> self.shift).astype(np.int64), np.full(len(h), -1, np.int32)
+        todo = np.arange(len(h))
+        while len(todo):
+            there = self.hashes[at]
+            hit = there == h[todo]
+            out[todo[hit]] = self.words[at[hit]]
+            on = ~hit & (there != 0)
+            todo, at = todo[on], (at[on] + 1) & (len(self.hashes) - 1)
+        return out
+
+    def learn(self, h: np.ndarray, words: list[bytes]) -> None:
+        """Add words that are not known; hashes differ and are not 0."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        if self.known + len(h) + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros(len(self.first) + len(h), np.int64)])
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.uint32)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.first[self.known + 1 : self.known + len(h) + 1] = self.used + np.cumsum(sizes)
+        number = np.arange(self.known, self.known + len(h), dtype=np.int32)
+        self.known, self.used = self.known + len(h), self.used + len(ids)
+        at = (h >> self.shift).astype(np.int64)
+        while len(h):  # of words for one free place, one takes it
+            free = np.flatnonzero(self.hashes[at] == 0)
+            own = free[np.unique(at[free], return_index=True)[1]]
+            self.hashes[at[own]], self.words[at[own]] = h[own], number[own]
+            rest = np.ones(len(h), bool)
+            rest[own] = False
+            h, number, at = h[rest], number[rest], (at[rest] + 1) & (len(self.hashes) - 1)
+
+    def tokens(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts with end_id after each, one after the other, and where each text's ids begin and end."""
+        starts, ends, at = word_bounds(data, offsets)
+        h = word_hashes(data, starts, EXACT_BYTE_HASH)
+        h[h == 0] = 1
+        if self.known > CACHED_WORDS:
+            self.clear()
+        number = self.find(h)
+        new = np.flatnonzero(number < 0)
+        for lo in range(0, len(new), 1 << 16):
+            part = new[lo : lo + (1 << 16)]
+            part = part[self.find(h[part]) < 0]
+            if self.known > 2 * CACHED_WORDS:
+                self.clear()
+                return self._piecewise(data, offsets, starts, ends, at, h, end_id)
+            fresh, rep = np.unique(h[part], return_index=True)
+            self.learn(fresh, [data[starts[i] : ends[i]].tobytes() for i in part[rep].tolist()])
+        if len(new):
+            number[new] = self.find(h[new])
+        return self._joined(number, at, end_id)
+
+    def _joined(self, number: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        size = self.first[number + 1] - self.first[number]
+        before = np.concatenate([[0], np.cumsum(size)])
+        bounds = before[at] + np.arange(len(at))  # an end_id for each text before
+        out = np.empty(int(bounds[-1]), np.uint32)
+        body = np.ones(len(out), bool)
+        body[bounds[1:] - 1] = False
+        out[bounds[1:] - 1] = end_id
+        out[body] = self.ids[np.repeat(self.first[number] - before[:-1], size) + np.arange(int(before[-1]))]
+        return out, bounds
+
+    def _piecewise(self, data, offsets, starts, ends, at, h, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """tokens for a slice with more different words than are kept: some words at a time."""
+        parts, sizes = [], np.zeros(len(h), np.int64)
+        for lo in range(0, len(h), CACHED_WORDS):
+            hi = min(lo + CACHED_WORDS, len(h))
+            self.clear()
+            fresh, rep = np.unique(h[lo:hi], return_index=True)
+            self.learn(fresh, [data[starts[lo + i] : ends[lo + i]].tobytes() for i in rep.tolist()])
+            number = self.find(h[lo:hi])
+            sizes[lo:hi] = self.first[number + 1] - self.first[number]
+            parts.append(self._joined(number, np.array([0, hi - lo]), end_id)[0][:-1])
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = before[at] + np.arange(len(at))
+        out = np.empty(int(bounds[-1]), np.uint32)
+        body = np.ones(len(out), bool)
+        body[bounds[1:] - 1] = False
+        out[bounds[1:] - 1] = end_id
+        out[body] = np.concatenate(parts)
+        return out, bounds
 
 
 @cache
@@ -57,23 +144,21 @@ def _words(path: str) -> WordTokens:
 
 def _pieces(batches, path: str, length: int, end_id: int, keep_ids: bool):
     known = _words(path)
-    end = np.array([end_id], "<u4").tobytes()
     for b in batches:
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        texts = b.column(1).cast(pa.binary())
-        for at in range(0, b.num_rows, 1000):
-            part = texts.slice(at, 1000).to_pylist()
-            known.learn({w for t in part if t for w in set(t.split())})
-            rows: list[list] = [[], [], [], [], [], []]
-            for i, t in enumerate(part):
-                ids = (known.ids(t) if t else b"") + end
-                n = len(ids) // 4
-                for s in range(0, n, length):
-                    piece = ids[4 * s : 4 * (s + length)]
-                    for x, y in zip(rows, (at + i, s, len(piece) // 4, zlib.crc32(piece), n, piece if keep_ids else None)):
-                        x.append(y)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows[0], pa.int64())), *(pa.array(x, pa.int64()) for x in rows[1:5]), pa.array(rows[5], pa.binary())], ["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+        for first, data, offsets in text_slices(b.column(1)):
+            ids, bounds = known.tokens(data, offsets, end_id)
+            ids = ids.astype("<u4", copy=False)
+            total = np.diff(bounds)
+            count = -(-total // length)
+            row = np.repeat(np.arange(len(total)), count)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * length
+            size = np.minimum(length, total[row] - start)
+            raw = memoryview(ids).cast("B")
+            at = ((bounds[row] + start) * 4).tolist()
+            spans = [raw[i : i + 4 * n] for i, n in zip(at, size.tolist())]
+            crc = np.fromiter(map(zlib.crc32, spans), np.int64, len(spans))
+            kept = pa.array([bytes(x) for x in spans], pa.binary()) if keep_ids else pa.nulls(len(spans), pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(first + row)), pa.array(start), pa.array(size), pa.array(crc), pa.array(total[row]), kept], ["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
 
 def _places(batches, shared):
