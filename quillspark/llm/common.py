@@ -64,6 +64,17 @@ class Scratch:
         at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until no column of df has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for x in names:
+        while x.lower() in taken:
+            x = "_" + x
+        taken.add(x.lower())
+        out.append(x)
+    return out
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit values (the splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)
@@ -216,7 +227,7 @@ def _local_forest(batches):
         yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
 
 
-def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Nodes of edges (a long, b long) with the smallest node that they reach: (node, component).
 
     Alternating large-star and small-star steps over DataFrames, after each task has replaced its own
@@ -224,7 +235,7 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -
     """
     now = scratch.save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().mapInArrow(_local_forest, "a long, b long"))
     mark = None
-    for _ in range(rounds):
+    while True:  # every round but the last replaces links by ones to smaller nodes
         both = now.union(now.select("b", "a"))
         low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, both.a == low.u).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -237,6 +248,60 @@ def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -
         if mark == (r.n, r.h):
             break
         mark = (r.n, r.h)
-    else:
-        raise RuntimeError("components did not settle")
     return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _block_cells(key, table, link, payload: list[str]):
+    """Links that link() finds in each block of a cell."""
+    table = table.sort_by([("block", "ascending"), ("side", "ascending"), ("node", "ascending")])
+    block, node = table.column("block").to_numpy(), table.column("node").to_numpy()
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    a, b = [], []
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+        own = table.slice(lo, hi - lo)
+        side, group = own.column("side").to_numpy(), own.column("joined").to_numpy()
+        for i, j in link(int(block[lo]), own.select(payload), np.unique(group, return_inverse=True)[1], side):
+            a.append(int(node[lo + i]))
+            b.append(int(node[lo + j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs: int = 8) -> DataFrame:
+    """(a, b): links that join whatever link() joins inside the blocks of placed (block long, node long, payload).
+
+    link(block, payload table, group, side) gets members of one block and gives positions of linked pairs; it may
+    leave out pairs that share a group or that its other links join, and where there are two sides it compares across
+    them only. A block of more than cell members is dealt to chunks, each with the block's few hubs; then only
+    members outside the block's largest group meet the other chunks. So no task holds a large block, and one whose
+    members the hubs join costs no more than its chunks. All pairs of a block are covered.
+    """
+    payload = [c for c in placed.columns if c not in ("block", "node")]
+    schema = "a long, b long"
+    large = scratch.save(placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > cell).withColumn("chunks", F.ceil(F.col("size") / cell).cast("int")))
+    some = large.count() > 0
+    bins = F.lit(max(1, -(-placed.count() // cell)))
+    if some:
+        known = placed.join(large, "block", "left").withColumn("chunk", F.when(F.col("chunks").isNull(), -1).otherwise(F.pmod(F.xxhash64("node"), F.col("chunks"))).cast("int"))
+        hub = F.col("chunks").isNotNull() & (F.pmod(F.xxhash64(F.lit(1), "node"), F.col("size")) < hubs)
+        dealt = known.withColumn("at", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
+    else:
+        dealt = placed.withColumn("at", F.lit(-1))
+    bin_ = F.when(F.col("at") < 0, F.pmod(F.xxhash64("block"), bins)).otherwise(F.col("block"))
+    cells = dealt.select(bin_.alias("bin"), "at", "block", "node", F.lit(0).alias("side"), F.col("node").alias("joined"), *payload)
+    links = scratch.save(cells.groupBy("bin", "at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema))
+    if not some:
+        return links
+    groups = connected_components(links, scratch)
+    known = known.where("chunk >= 0").join(groups, "node", "left").withColumn("joined", F.coalesce("component", "node"))
+    parts = known.groupBy("block", "joined").agg(F.count(F.lit(1)).alias("members"))
+    rest = parts.groupBy("block").agg(F.max(F.struct("members", "joined")).alias("top"), F.sum("members").alias("all"))
+    rest = scratch.save(rest.select("block", F.col("top.joined").alias("main"), F.ceil((F.col("all") - F.col("top.members")) / cell).cast("int").alias("odd_chunks")).where("odd_chunks > 0"))
+    if rest.isEmpty():
+        return links
+    left = known.join(rest, "block")
+    odd_at = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("odd_chunks")).cast("int")
+    ours = left.withColumn("at", F.col("chunk")).withColumn("odd_at", F.explode(F.sequence(F.lit(0), F.col("odd_chunks") - 1))).withColumn("side", F.lit(0))
+    theirs = left.where("joined <> main").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("at <> chunk").withColumn("odd_at", odd_at).withColumn("side", F.lit(1))
+    names = ["block", "at", "odd_at", "node", "side", "joined", *payload]
+    more = ours.select(*names).union(theirs.select(*names)).groupBy("block", "at", "odd_at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema)
+    return scratch.save(links.union(more))
