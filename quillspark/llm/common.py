@@ -263,7 +263,7 @@ def _block_cells(key, table, link, payload: list[str]):
         for i, j in link(int(block[lo]), own.select(payload), np.unique(group, return_inverse=True)[1], side):
             a.append(int(node[lo + i]))
             b.append(int(node[lo + j]))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "large": pa.array([key[1].as_py() >= 0] * len(a), pa.bool_())})
 
 
 def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs: int = 8) -> DataFrame:
@@ -276,7 +276,7 @@ def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs:
     members the hubs join costs no more than its chunks. All pairs of a block are covered.
     """
     payload = [c for c in placed.columns if c not in ("block", "node")]
-    schema = "a long, b long"
+    schema = "a long, b long, large boolean"
     large = scratch.save(placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > cell).withColumn("chunks", F.ceil(F.col("size") / cell).cast("int")))
     some = large.count() > 0
     bins = F.lit(max(1, -(-placed.count() // cell)))
@@ -290,18 +290,18 @@ def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs:
     cells = dealt.select(bin_.alias("bin"), "at", "block", "node", F.lit(0).alias("side"), F.col("node").alias("joined"), *payload)
     links = scratch.save(cells.groupBy("bin", "at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema))
     if not some:
-        return links
-    groups = connected_components(links, scratch)
+        return links.select("a", "b")
+    groups = connected_components(links.where("large"), scratch)
     known = known.where("chunk >= 0").join(groups, "node", "left").withColumn("joined", F.coalesce("component", "node"))
     parts = known.groupBy("block", "joined").agg(F.count(F.lit(1)).alias("members"))
     rest = parts.groupBy("block").agg(F.max(F.struct("members", "joined")).alias("top"), F.sum("members").alias("all"))
     rest = scratch.save(rest.select("block", F.col("top.joined").alias("main"), F.ceil((F.col("all") - F.col("top.members")) / cell).cast("int").alias("odd_chunks")).where("odd_chunks > 0"))
     if rest.isEmpty():
-        return links
+        return links.select("a", "b")
     left = known.join(rest, "block")
     odd_at = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("odd_chunks")).cast("int")
     ours = left.withColumn("at", F.col("chunk")).withColumn("odd_at", F.explode(F.sequence(F.lit(0), F.col("odd_chunks") - 1))).withColumn("side", F.lit(0))
     theirs = left.where("joined <> main").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("at <> chunk").withColumn("odd_at", odd_at).withColumn("side", F.lit(1))
     names = ["block", "at", "odd_at", "node", "side", "joined", *payload]
     more = ours.select(*names).union(theirs.select(*names)).groupBy("block", "at", "odd_at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema)
-    return scratch.save(links.union(more))
+    return scratch.save(links.union(more).select("a", "b"))
