@@ -1,7 +1,8 @@
 """Regular expressions to one minimal deterministic automaton, and scanning bytes with it.
 
 The syntax is what scan rules need: literals, escapes, classes, groups, alternation and the repeats
-? * + {n} {n,} {n,m}. All rules share one automaton, whose states say which rules end at a byte.
+? * + {n} {n,} {n,m}. Rules share one automaton, whose states say which rules end at a byte; read backwards, the
+automaton of the reversed rules says which rules start at a byte.
 """
 
 from __future__ import annotations
@@ -151,24 +152,45 @@ class _Nfa:
         return end
 
 
+def _reversed(tree):
+    if tree[0] == "cat":
+        return ("cat", *(_reversed(x) for x in tree[:0:-1]))
+    if tree[0] == "or":
+        return ("or", *(_reversed(x) for x in tree[1:]))
+    if tree[0] == "rep":
+        return ("rep", _reversed(tree[1]), *tree[2:])
+    return tree
+
+
 class Automaton:
-    """next: (states, 256) transitions from state 0; ends: for each state, a bit for each rule that may end there."""
+    """next: (states, 256) transitions from state 0; ends: for each state, a bit for each rule that may end there.
+
+    Rules start anywhere, or with anchored at the first byte only; backward automata read rules from their ends.
+    """
 
-    def __init__(self, rules: Iterable[tuple[str, bool]]):
+    #: Lanes below which bytes are read one by one instead of a byte of every lane at once.
+    FEW_LANES = 12
+
+    def __init__(self, rules: Iterable[tuple[str, bool]], anchored: bool = False, backward: bool = False):
         nfa = _Nfa()
         start = nfa.state()
-        goals = {}
+        goals: dict[int, int] = {}
         for k, (pattern, fold) in enumerate(rules):
             own = nfa.state()
             nfa.free[start].append(own)
-            goals[nfa.add(_Parser(pattern, fold).parse(), own)] = 1 << k
-        self.next, self.ends = self._minimal(*self._subsets(nfa, start, goals))
+            tree = _Parser(pattern, fold).parse()
+            end = nfa.add(_reversed(tree) if backward else tree, own)
+            goals[end] = goals.get(end, 0) | 1 << k
+        self.next, self.ends = self._minimal(*self._subsets(nfa, start, goals, anchored))
         #: Bytes after which the state is the same wherever it was.
         self.resets = (self.next == self.next[0]).all(0)
         self.flat = np.ascontiguousarray(self.next.reshape(-1))
+        self.rows, self.marks = self.next.tolist(), self.ends.tolist()
+        #: States that no rule is in the middle of or can end after, for anchored automata.
+        self.dead = [not e and all(y == x for y in row) for x, (row, e) in enumerate(zip(self.rows, self.marks))]
 
     @staticmethod
-    def _subsets(nfa: _Nfa, start: int, goals: dict[int, int]):
+    def _subsets(nfa: _Nfa, start: int, goals: dict[int, int], anchored: bool):
         def closed(states) -> frozenset[int]:
             todo, seen = list(states), set(states)
             while todo:
@@ -178,31 +200,32 @@ class Automaton:
                         todo.append(y)
             return frozenset(x for x in seen if nfa.moves[x] is not None or x in goals)
 
-        restart = closed([start])  # a rule may start at every byte
-        number, todo, rows, ends = {restart: 0}, [restart], [], []
+        sets = sorted({m[0] for m in nfa.moves if m is not None}, key=sorted)
+        kinds: dict[tuple, int] = {}  # bytes that no set tells apart
+        kind = np.array([kinds.setdefault(tuple(b in x for x in sets), len(kinds)) for b in range(256)])
+        of_set = {x: sorted({int(kind[b]) for b in x}) for x in sets}
+        first = closed([start])
+        restart = frozenset() if anchored else first  # a rule may start at every byte
+        number, todo, rows, ends = {first: 0}, [first], [], []
         while todo:
             now = todo.pop(0)
             ends.append(sum({goals[x] for x in now if x in goals}))
-            to: list[set[int]] = [set() for _ in range(256)]
+            to: list[set[int]] = [set() for _ in kinds]
             for x in now:
                 if nfa.moves[x] is not None:
-                    for b in nfa.moves[x][0]:
-                        to[b].add(nfa.moves[x][1])
-            known: dict[frozenset[int], int] = {}
-            row = np.zeros(256, np.int32)
-            for b in range(256):
-                key = frozenset(to[b])
-                if key not in known:
-                    after = closed(key) | restart
-                    if after not in number:
-                        number[after] = len(number)
-                        todo.append(after)
-                        if len(number) > 30_000:
-                            raise ValueError("the rules need too many states")
-                    known[key] = number[after]
-                row[b] = known[key]
+                    for k in of_set[nfa.moves[x][0]]:
+                        to[k].add(nfa.moves[x][1])
+            row = np.zeros(len(kinds), np.int32)
+            for k, states in enumerate(to):
+                after = closed(states) | restart
+                if after not in number:
+                    number[after] = len(number)
+                    todo.append(after)
+                    if len(number) > 30_000:
+                        raise ValueError("the rules need too many states")
+                row[k] = number[after]
             rows.append(row)
-        return np.array(rows), np.array(ends, np.int64)
+        return np.array(rows)[:, kind], np.array(ends, np.int64)
 
     @staticmethod
     def _minimal(moves: np.ndarray, ends: np.ndarray):
@@ -227,7 +250,7 @@ class Automaton:
         """Starts and ends of the chunks of data in which a rule may end.
 
         Chunks begin at a text or after a byte that resets the automaton, so all of them run at once,
-        each from the start state, and every byte is looked at once.
+        each from the start state, and no byte is looked at twice; what few very long chunks have left goes byte by byte.
         """
         n = len(data)
         if not n:
@@ -246,7 +269,43 @@ class Automaton:
         ends = self.ends != 0
         for t in range(int(sizes[0])):
             a = active[t]
+            if a < self.FEW_LANES:
+                for i in range(a):
+                    hit[i] = hit[i] or self._ends_in(data[starts[i] + t : starts[i] + sizes[i]].tobytes(), int(state[i]))
+                break
             now = self.flat[state[:a] * 256 + data[starts[:a] + t]]
             state[:a] = now
             hit[:a] |= ends[now]
         return starts[hit], starts[hit] + sizes[hit]
+
+    def _ends_in(self, data: bytes, state: int) -> bool:
+        rows, marks = self.rows, self.marks
+        for b in data:
+            state = rows[state][b]
+            if marks[state]:
+                return True
+        return False
+
+    def starts(self, data: bytes) -> list[tuple[int, int]]:
+        """(place, bits of the rules that start there), last places first; for backward automata."""
+        rows, marks, state, out, at = self.rows, self.marks, 0, [], len(data)
+        for b in data[::-1]:
+            at -= 1
+            state = rows[state][b]
+            if marks[state]:
+                out.append((at, marks[state]))
+        return out
+
+    def longest(self, data: bytes, at: int, stop: int | None = None) -> int:
+        """Where the longest match that begins at a place ends, at stop the latest; -1 without one. For anchored automata of one rule."""
+        rows, marks, dead, state, end = self.rows, self.marks, self.dead, 0, -1
+        if marks[0]:
+            end = at
+        for b in data[at:stop] if stop is not None else memoryview(data)[at:]:
+            state = rows[state][b]
+            at += 1
+            if marks[state]:
+                end = at
+            elif dead[state]:
+                break
+        return end

@@ -3,14 +3,14 @@ import random
 import re
 
 from quillspark.llm.automaton import Automaton
-from quillspark.llm.secret_scan import RULES, automaton, redact_secrets, scan_secrets
+from quillspark.llm.secret_scan import RULES, Scanner, redact_secrets, scan_secrets
 
 
 def brute(text):
     found = []
-    for k, (kind, pattern, fold, group, least, _) in enumerate(RULES):
-        for m in re.finditer(pattern, text, re.A | (re.I if fold else 0)):
-            if len(m[group]) >= least:
+    for k, (kind, head, value, fold, least, _) in enumerate(RULES):
+        for m in re.finditer(f"{head}(?P<value>{value})", text, re.A | (re.I if fold else 0)):
+            if len(m["value"]) >= least:
                 found.append((m.start(), k, m.end()))
     return [f"{RULES[k][0]}:{s}:{e}" for s, k, e in sorted(found)]
 
@@ -43,7 +43,28 @@ def test_automaton_finds_the_same_ends():
             for k, (p, fold) in enumerate(rules):
                 ends = any(re.fullmatch(p.encode(), s[j : i + 1], re.I if fold else 0) for j in range(i + 1))
                 assert bool(dfa.ends[state] >> k & 1) == ends
-    assert len(automaton().next) < 30_000
+    back = Automaton(rules, backward=True)
+    for _ in range(300):
+        s = "".join(rng.choice("abcx0123kKEyY ") for _ in range(30)).encode()
+        starts = dict(back.starts(s))
+        for i in range(30):
+            for k, (p, fold) in enumerate(rules):
+                assert bool(starts.get(i, 0) >> k & 1) == bool(re.compile(p.encode(), re.I if fold else 0).match(s, i))
+    assert len(Scanner().all.next) < 3_000 and len(Scanner().back.next) < 3_000
+
+
+def test_a_megabyte_without_a_reset_byte():
+    import time
+
+    import pyarrow as pa
+    from quillspark.llm.secret_scan import scan_texts
+
+    scanner = Scanner()
+    began = time.process_time()
+    out = scan_texts(pa.array(["x " + "0123456789abcdef" * 65_536 + "\npassword: hunter22", "token=" + "secret=" * 100_000]), scanner)
+    assert time.process_time() - began < 3
+    assert out[0] == [(2, 2, 2 + 16 * 65_536), (3 + 16 * 65_536, 0, 3 + 16 * 65_536 + 18)]
+    assert out[1] == [(0, 0, 6 + 700_000)]
 
 
 def test_redaction_and_empty_table(spark):
