@@ -5,7 +5,7 @@ ordered rare first by a frequency sketch over all documents; two sets of Jaccard
 share at least one shingle in their prefixes, and the shared shingles that their prefixes must have
 (the positional filter) grow with their sizes. Pairs that pass are gathered into blocks of connected
 candidates; each set goes once into its block (or its cells, for a large block), where length and
-suffix filters come before the exact comparison.
+suffix filters come before the exact comparison. Sets are exact hashes of shingles; a node is a set's hash.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import IdFilter, Scratch, _pack, _unpack, connected_components, mix64, on_groups
-from quillspark.llm.kernels import UnionFind, shingle_sets
+from quillspark.llm.common import IdFilter, Scratch, _pack, _unpack, connected_components, linked_in_blocks, mix64, on_groups
+from quillspark.llm.kernels import shingle_sets
 
 SKETCH_WIDTH = 1 << 20
 SKETCH_BLOCK = 1 << 16
@@ -46,8 +46,9 @@ def _describe(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
     """Rows of documents (id, n, s1, s2), and at the end the task's sketch in blocks."""
     counts = np.zeros((2, SKETCH_WIDTH), np.uint32)
     names = ["id", "n", "s1", "s2", "block", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     for b in batches:
+        kinds[0] = b.column(0).type
         n = b.num_rows
         size, s1, s2 = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
         held: list[np.ndarray] = []
@@ -62,8 +63,8 @@ def _describe(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 _sketch_add(counts, held)
                 held, total = [], 0
         _sketch_add(counts, held)
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(size), pa.array(s1), pa.array(s2), pa.nulls(n, kinds[4]), pa.nulls(n, kinds[5])], names)
-    for at in range(0, SKETCH_WIDTH, SKETCH_BLOCK):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(s1), pa.array(s2), pa.nulls(n, kinds[4]), pa.nulls(n, kinds[5])], names)
+    for at in range(0, SKETCH_WIDTH if kinds[0] is not None else 0, SKETCH_BLOCK):
         part = counts[:, at : at + SKETCH_BLOCK]
         if part.any():
             yield pa.RecordBatch.from_arrays([pa.nulls(1, x) for x in kinds[:4]] + [pa.array([at // SKETCH_BLOCK], kinds[4]), pa.array([_pack(part)], kinds[5])], names)
@@ -198,29 +199,27 @@ def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch], k: int, wanted) -> Iterator[pa.RecordBatch]:
-    """(id, set) of the documents that the filter lets through."""
+    """(node, set) of the sets that the filter lets through; once for each batch and node."""
     for b in batches:
-        ids = b.column(0).to_numpy(zero_copy_only=False)
-        own = np.flatnonzero(wanted.value.hit(ids))
-        if not len(own):
-            continue
-        texts = b.column(1).take(pa.array(own))
-        out, sets, held = [], [], 0
-        for row, s in shingle_sets(texts, k):
-            out.append(int(ids[own[row]]))
-            sets.append(s.tobytes())
-            held += len(sets[-1])
+        out: dict[int, bytes] = {}
+        held = 0
+        for _, s in shingle_sets(b.column(0), k):
+            node = _signature(s)[0] if len(s) else 0
+            if not len(s) or node in out or not wanted.value.hit(np.array([node]))[0]:
+                continue
+            out[node] = s.tobytes()
+            held += len(out[node])
             if held > 4_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
-                out, sets, held = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["node", "shingles"])
+                out, held = {}, 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(sets, pa.binary())], ["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["node", "shingles"])
 
 
-def link_cell(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links (as positions) that join the sets of a cell into the groups that all of its links make.
+def link_sets(sets: list[np.ndarray], member: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (as positions) that join sets into the groups that all of their links make.
 
-    With two sides only pairs across them are compared. Pairs that are already joined need no
+    With two sides only pairs across them are compared. Members that are already joined need no
     comparison, so a large group of near copies costs one comparison a member, not one a pair.
     """
     n = len(sets)
@@ -229,8 +228,7 @@ def link_cell(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tu
     hist = np.zeros((n, SUFFIX_BUCKETS), np.int32)
     for i, s in enumerate(sets):
         hist[i] = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=SUFFIX_BUCKETS)
-    groups = UnionFind(n)
-    member = np.arange(n)
+    member = member.copy()
     two = side.min() != side.max() if n else False
     links = []
     sorted_size = size[order]
@@ -251,23 +249,15 @@ def link_cell(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tu
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if both >= least_overlap(size[j], size[i], percent):
                 links.append((i, j))
-                groups.join(i, j)
-                old, new = max(member[i], member[j]), min(member[i], member[j])
-                member[member == old] = new
+                member[member == max(member[i], member[j])] = min(member[i], member[j])
                 others = others[member[others] != member[i]]
             else:
                 others = others[:-1]
     return links
 
 
-def _cell_links(key, table: pa.Table, percent: int) -> pa.Table:
-    ids = table.column("id").to_numpy()
-    side = table.column("side").to_numpy()
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
-    order = np.argsort(ids, kind="stable")
-    links = link_cell([sets[i] for i in order], side[order], percent)
-    ids = ids[order]
-    return pa.table({"a": pa.array([int(ids[i]) for i, _ in links], pa.int64()), "b": pa.array([int(ids[j]) for _, j in links], pa.int64())})
+def _link_block(block: int, table: pa.Table, member: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    return link_sets([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")], member, side, percent)
 
 
 def prefix_sql(n, percent: int):
@@ -277,16 +267,18 @@ def prefix_sql(n, percent: int):
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents whose word-shingle sets have a Jaccard similarity of percent / 100 or more.
 
-    Returns one row for each distinct non-null id: the id column, n_shingles (size of its set) and
-    component_id (smallest id that links reach, its own included). Words are runs without ASCII white
-    space, A-Z in lower case. A text with fewer than k words is one shingle; null, empty and blank
-    texts have an empty set and link with nothing. Several rows with one id count as one document
-    each and are joined under that id. An empty table gives an empty result. Other columns are ignored.
+    Returns one row for each row of docs: the id column, n_shingles (size of its set) and component_id (smallest id
+    that links reach, its own included). Words are runs without ASCII white space, A-Z in lower case. A text
+    with fewer than k words is one shingle; null, empty and blank texts have an empty set and link with nothing.
+    Ids may be of any type that has an order. Rows are documents of their own, also where they repeat an id or have
+    none; a null id is never the smallest of a group that has another. An empty table gives an empty result. Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    seen = scratch.save(own.mapInArrow(partial(_describe, k=k), "id long, n long, s1 long, s2 long, block int, counts binary"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    seen = scratch.save(own.mapInArrow(partial(_describe, k=k), f"id {kind}, n long, s1 long, s2 long, block int, counts binary"))
     sketch = np.zeros((2, SKETCH_WIDTH), np.uint32)
     parts = seen.where("block is not null").select("block", "counts").groupBy("block", (F.spark_partition_id() % 64).alias("salt"))
     for r in parts.applyInArrow(on_groups(_sketch_sum), "block int, counts binary").groupBy("block").applyInArrow(on_groups(_sketch_sum), "block int, counts binary").toLocalIterator():
@@ -299,17 +291,16 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     need = F.ceil(percent * (n + m) / F.lit(100 + percent)) - F.greatest(n - prefix_sql(n, percent), m - prefix_sql(m, percent))
     candidates = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max(F.col("shared").isNull()).alias("sure"), F.max("na").alias("na"), F.max("nb").alias("nb")).where(F.col("sure") | (F.col("shared") >= need))
     blocks = scratch.save(connected_components(candidates.select("a", "b"), scratch))
-    nodes = members.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("id"))
-    chosen = scratch.save(nodes.join(blocks, nodes.s1 == blocks.node).select("id", F.col("component").alias("block")))
-    large = chosen.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("cells", F.ceil(F.col("size") / CELL).cast("int"))
-    wanted = spark.sparkContext.broadcast(IdFilter.of(chosen, "id"))
-    sets = own.mapInArrow(partial(_sets_of, k=k, wanted=wanted), "id long, shingles binary")
-    chunk = F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
-    placed = chosen.join(large, "block").withColumn("chunk", chunk).join(sets.hint("merge"), "id")
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select("block", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "id", (F.col("chunk") > F.col("other")).cast("int").alias("side"), "shingles")
-    links = scratch.save(cells.groupBy("block", "i", "j").applyInArrow(on_groups(_cell_links, percent=percent), "a long, b long"))
-    groups = connected_components(links, scratch)
-    nodes = members.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("id").alias("first"))
-    named = nodes.join(groups, F.col("first") == F.col("node"), "left").select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("n").alias("tn"), F.coalesce("component", "first").alias("component"))
-    by_set = members.join(named, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")) & (F.col("n") == F.col("tn")), "left")
-    return by_set.groupBy(F.col("id").alias(id_col)).agg(F.max("n").alias("n_shingles"), F.min(F.coalesce("component", "id")).alias("component_id"))
+    wanted = spark.sparkContext.broadcast(IdFilter.of(blocks, "node"))
+    sets = own.select("text").mapInArrow(partial(_sets_of, k=k, wanted=wanted), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    placed = scratch.save(blocks.join(sets, "node").select(F.col("component").alias("block"), "node", "shingles"))
+    groups = scratch.save(connected_components(linked_in_blocks(placed, scratch, partial(_link_block, percent=percent), CELL), scratch))
+    firsts = members.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("first"))
+    named = firsts.join(groups, F.col("s1") == F.col("node"), "left").withColumn("group", F.coalesce("component", "s1"))
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("lowest"))
+    named = named.select("s1", "s2", "first", "group").join(lowest, F.col("group") == F.col("component"), "left")
+    named = named.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("lowest", "first").alias("named"))
+    out = members.join(named, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
+    out = scratch.save(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("named")).otherwise(F.col("id")).alias("component_id")))
+    scratch.drop(seen, blocks, placed, groups)
+    return out
