@@ -251,36 +251,72 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+class Joined:
+    """Disjoint sets over rows that start out in groups."""
+
+    def __init__(self, group: np.ndarray):
+        names, at = np.unique(group, return_inverse=True)
+        self.at, self.parent = at.tolist(), list(range(len(names)))
+
+    def root(self, row: int) -> int:
+        x, parent = self.at[row], self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, i: int, j: int) -> None:
+        x, y = self.root(i), self.root(j)
+        self.parent[max(x, y)] = min(x, y)
+
+
 def _block_cells(key, table, link, payload: list[str]):
-    """Links that link() finds in each block of a cell."""
+    """(a, b) of the links that link() finds in a cell; of a chunk of a large block also (node, its smallest joined node), marked in place."""
     table = table.sort_by([("block", "ascending"), ("side", "ascending"), ("node", "ascending")])
-    block, node = table.column("block").to_numpy(), table.column("node").to_numpy()
-    cuts = np.flatnonzero(np.diff(block)) + 1
-    a, b = [], []
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
-        own = table.slice(lo, hi - lo)
-        side, group = own.column("side").to_numpy(), own.column("joined").to_numpy()
-        for i, j in link(int(block[lo]), own.select(payload), np.unique(group, return_inverse=True)[1], side):
-            a.append(int(node[lo + i]))
-            b.append(int(node[lo + j]))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "large": pa.array([key[1].as_py() >= 0] * len(a), pa.bool_())})
+    block, node, side, group = (table.column(c).to_numpy() for c in ("block", "node", "side", "joined"))
+    joined = Joined(group)
+    pairs = link(block, table.select(payload), joined, side)
+    a, b = (np.array([node[p[k]] for p in pairs], np.int64) for k in (0, 1))
+    at = np.full(len(a), -1, np.int32)
+    if len(key) == 2 and key[1].as_py() >= 0 and len(node):
+        root = np.array([joined.root(i) for i in range(len(node))])
+        order = np.lexsort((node, root))
+        first = order[np.searchsorted(root[order], np.arange(root.max() + 1))]
+        a, b, at = np.concatenate([a, node]), np.concatenate([b, node[first[root]]]), np.concatenate([at, np.full(len(node), key[1].as_py(), np.int32)])
+    return pa.table({"a": pa.array(a), "b": pa.array(b), "at": pa.array(at), "block": pa.array(np.full(len(a), block[0] if len(block) else 0))})
+
+
+def _hub_groups(key, table):
+    """(block, at, root, main) of the groups of a large block's chunks that hold hubs: main names those that hubs join, the commonest 0."""
+    node, at, root = (table.column(c).to_pylist() for c in ("node", "at", "root"))
+    joined = Joined(np.array(node))
+    seen: dict[tuple[int, int], int] = {}
+    for i, x in enumerate(zip(at, root)):
+        joined.join(i, seen.setdefault(x, i))
+    first = list(seen.values())
+    names = [joined.root(i) for i in first]
+    common = max(set(names), key=lambda x: (names.count(x), -x))
+    return pa.table({"block": pa.array([key[0].as_py()] * len(first), pa.int64()), "at": pa.array([at[i] for i in first], pa.int32()), "root": pa.array([root[i] for i in first], pa.int64()), "main": pa.array([int(x != common) * (x + 1) for x in names], pa.int64())})
 
 
 def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs: int = 8) -> DataFrame:
     """(a, b): links that join whatever link() joins inside the blocks of placed (block long, node long, payload).
 
-    link(block, payload table, group, side) gets members of one block and gives positions of linked pairs; it may
-    leave out pairs that share a group or that its other links join, and where there are two sides it compares across
-    them only. A block of more than cell members is dealt to chunks, each with the block's few hubs; then only
-    members outside the block's largest group meet the other chunks. So no task holds a large block, and one whose
-    members the hubs join costs no more than its chunks. All pairs of a block are covered.
+    link(block, payload table, joined, side) gets rows in order of their blocks, joins what it links in joined and
+    gives positions of linked pairs, all of one block; it may leave out pairs that are joined already, and where there
+    are two sides it compares across them only. A block of more than cell members is dealt to chunks, each with the
+    block's few hubs; then only members outside the block's main group, the one that hubs join most of, meet the other
+    chunks. So no task holds a large block, and one whose members the hubs join costs no more than its chunks. All
+    pairs of a block are covered.
     """
     payload = [c for c in placed.columns if c not in ("block", "node")]
-    schema = "a long, b long, large boolean"
-    large = scratch.save(placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > cell).withColumn("chunks", F.ceil(F.col("size") / cell).cast("int")))
-    some = large.count() > 0
-    bins = F.lit(max(1, -(-placed.count() // cell)))
+    schema = "a long, b long, at int, block long"
+    sizes = scratch.save(placed.groupBy("block").agg(F.count(F.lit(1)).alias("size")))
+    r = sizes.agg(F.max("size").alias("most"), F.sum("size").alias("all")).first()
+    bins = F.lit(max(1, -(-(r["all"] or 0) // cell)))
+    some = (r.most or 0) > cell
     if some:
+        large = sizes.where(F.col("size") > cell).withColumn("chunks", F.ceil(F.col("size") / cell).cast("int"))
         known = placed.join(large, "block", "left").withColumn("chunk", F.when(F.col("chunks").isNull(), -1).otherwise(F.pmod(F.xxhash64("node"), F.col("chunks"))).cast("int"))
         hub = F.col("chunks").isNotNull() & (F.pmod(F.xxhash64(F.lit(1), "node"), F.col("size")) < hubs)
         dealt = known.withColumn("at", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))))
@@ -288,20 +324,20 @@ def linked_in_blocks(placed: DataFrame, scratch: Scratch, link, cell: int, hubs:
         dealt = placed.withColumn("at", F.lit(-1))
     bin_ = F.when(F.col("at") < 0, F.pmod(F.xxhash64("block"), bins)).otherwise(F.col("block"))
     cells = dealt.select(bin_.alias("bin"), "at", "block", "node", F.lit(0).alias("side"), F.col("node").alias("joined"), *payload)
-    links = scratch.save(cells.groupBy("bin", "at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema))
+    found = scratch.save(cells.groupBy("bin", "at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema))
+    links = found.where("at < 0").select("a", "b")
     if not some:
-        return links.select("a", "b")
-    groups = connected_components(links.where("large"), scratch)
-    known = known.where("chunk >= 0").join(groups, "node", "left").withColumn("joined", F.coalesce("component", "node"))
-    parts = known.groupBy("block", "joined").agg(F.count(F.lit(1)).alias("members"))
-    rest = parts.groupBy("block").agg(F.max(F.struct("members", "joined")).alias("top"), F.sum("members").alias("all"))
-    rest = scratch.save(rest.select("block", F.col("top.joined").alias("main"), F.ceil((F.col("all") - F.col("top.members")) / cell).cast("int").alias("odd_chunks")).where("odd_chunks > 0"))
-    if rest.isEmpty():
-        return links.select("a", "b")
-    left = known.join(rest, "block")
-    odd_at = F.pmod(F.xxhash64(F.lit(2), "node"), F.col("odd_chunks")).cast("int")
-    ours = left.withColumn("at", F.col("chunk")).withColumn("odd_at", F.explode(F.sequence(F.lit(0), F.col("odd_chunks") - 1))).withColumn("side", F.lit(0))
-    theirs = left.where("joined <> main").withColumn("at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("at <> chunk").withColumn("odd_at", odd_at).withColumn("side", F.lit(1))
-    names = ["block", "at", "odd_at", "node", "side", "joined", *payload]
-    more = ours.select(*names).union(theirs.select(*names)).groupBy("block", "at", "odd_at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema)
-    return scratch.save(links.union(more).select("a", "b"))
+        return links
+    own = found.where("at >= 0").select("block", "at", F.col("a").alias("node"), F.col("b").alias("root"))
+    marked = own.join(large, "block").withColumn("hub", F.pmod(F.xxhash64(F.lit(1), "node"), F.col("size")) < hubs).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    main = marked.where("hub").select("block", "at", "root", "node").groupBy("block").applyInArrow(_hub_groups, "block long, at int, root long, main long")  # hubs times chunks rows a block
+    odd = scratch.save(marked.where("chunk = at").join(main, ["block", "at", "root"], "left").where("main is null or main <> 0").select("block", "node", "chunk", "chunks", "root"))
+    counts = scratch.save(odd.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("odd_chunks")))
+    if counts.isEmpty():
+        return links
+    left = known.where("chunk >= 0").select("block", "node", "chunk", *payload).join(counts, "block")
+    ours = left.select("block", F.col("chunk").alias("at"), F.explode(F.sequence(F.lit(0), F.col("odd_chunks") - 1)).alias("odd_at"), "node", F.lit(0).alias("side"), F.col("node").alias("joined"), *payload)
+    theirs = left.join(odd.select("block", "node", "chunks"), ["block", "node"]).withColumn("at", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("at <> chunk")
+    theirs = theirs.select("block", "at", F.pmod(F.xxhash64(F.lit(2), "node"), F.col("odd_chunks")).cast("int").alias("odd_at"), "node", F.lit(1).alias("side"), F.col("node").alias("joined"), *payload)
+    more = ours.union(theirs).groupBy("block", "at", "odd_at").applyInArrow(on_groups(_block_cells, link=link, payload=payload), schema)
+    return scratch.save(links.union(more.select("a", "b")))

@@ -43,10 +43,10 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (id, n, s1, s2), and at the end the task's sketch in blocks."""
+    """Rows of documents (id, row, n, s1, s2), and at the end the task's sketch in blocks."""
     counts = np.zeros((2, SKETCH_WIDTH), np.uint32)
-    names = ["id", "n", "s1", "s2", "block", "counts"]
-    kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["id", "row", "n", "s1", "s2", "block", "counts"]
+    kinds = [None, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     for b in batches:
         kinds[0] = b.column(0).type
         n = b.num_rows
@@ -63,11 +63,11 @@ def _describe(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 _sketch_add(counts, held)
                 held, total = [], 0
         _sketch_add(counts, held)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(s1), pa.array(s2), pa.nulls(n, kinds[4]), pa.nulls(n, kinds[5])], names)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(size), pa.array(s1), pa.array(s2), pa.nulls(n, kinds[5]), pa.nulls(n, kinds[6])], names)
     for at in range(0, SKETCH_WIDTH if kinds[0] is not None else 0, SKETCH_BLOCK):
         part = counts[:, at : at + SKETCH_BLOCK]
         if part.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, x) for x in kinds[:4]] + [pa.array([at // SKETCH_BLOCK], kinds[4]), pa.array([_pack(part)], kinds[5])], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, x) for x in kinds[:5]] + [pa.array([at // SKETCH_BLOCK], kinds[5]), pa.array([_pack(part)], kinds[6])], names)
 
 
 def _sketch_add(counts: np.ndarray, sets: list[np.ndarray]) -> None:
@@ -199,21 +199,22 @@ def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch], k: int, wanted) -> Iterator[pa.RecordBatch]:
-    """(node, set) of the sets that the filter lets through; once for each batch and node."""
+    """(row, set) of the rows that the filter lets through."""
     for b in batches:
-        out: dict[int, bytes] = {}
-        held = 0
-        for _, s in shingle_sets(b.column(0), k):
-            node = _signature(s)[0] if len(s) else 0
-            if not len(s) or node in out or not wanted.value.hit(np.array([node]))[0]:
-                continue
-            out[node] = s.tobytes()
-            held += len(out[node])
+        rows = b.column(0).to_numpy(zero_copy_only=False)
+        own = np.flatnonzero(wanted.value.hit(rows))
+        if not len(own):
+            continue
+        out, sets, held = [], [], 0
+        for at, s in shingle_sets(b.column(1).take(pa.array(own)), k):
+            out.append(int(rows[own[at]]))
+            sets.append(s.tobytes())
+            held += len(sets[-1])
             if held > 4_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["node", "shingles"])
-                out, held = {}, 0
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(sets, pa.binary())], ["row", "shingles"])
+                out, sets, held = [], [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(sets, pa.binary())], ["row", "shingles"])
 
 
 def link_sets(sets: list[np.ndarray], member: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -256,8 +257,15 @@ def link_sets(sets: list[np.ndarray], member: np.ndarray, side: np.ndarray, perc
     return links
 
 
-def _link_block(block: int, table: pa.Table, member: np.ndarray, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    return link_sets([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")], member, side, percent)
+def _link_blocks(block: np.ndarray, table: pa.Table, joined, side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+    cuts, out = np.flatnonzero(np.diff(block)) + 1, []
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+        member = np.array([joined.root(i) for i in range(lo, hi)])
+        for i, j in link_sets(sets[lo:hi], member, side[lo:hi], percent):
+            joined.join(lo + i, lo + j)
+            out.append((lo + i, lo + j))
+    return out
 
 
 def prefix_sql(n, percent: int):
@@ -277,13 +285,13 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram-join")
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    seen = scratch.save(own.mapInArrow(partial(_describe, k=k), f"id {kind}, n long, s1 long, s2 long, block int, counts binary"))
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).withColumn("row", F.xxhash64("id", "text"))
+    seen = scratch.save(own.mapInArrow(partial(_describe, k=k), f"id {kind}, row long, n long, s1 long, s2 long, block int, counts binary"))
     sketch = np.zeros((2, SKETCH_WIDTH), np.uint32)
     parts = seen.where("block is not null").select("block", "counts").groupBy("block", (F.spark_partition_id() % 64).alias("salt"))
     for r in parts.applyInArrow(on_groups(_sketch_sum), "block int, counts binary").groupBy("block").applyInArrow(on_groups(_sketch_sum), "block int, counts binary").toLocalIterator():
         sketch[:, r.block * SKETCH_BLOCK : (r.block + 1) * SKETCH_BLOCK] = _unpack(bytes(r.counts), np.uint32).reshape(2, SKETCH_BLOCK)
-    members = seen.where("block is null").select("id", "n", "s1", "s2")
+    members = seen.where("block is null").select("id", "row", "n", "s1", "s2")
     counts = spark.sparkContext.broadcast(sketch)
     tokens = own.select("text").mapInArrow(partial(_prefixes, k=k, percent=percent, counts=counts), "token long, node long, n int")
     pairs = tokens.repartition("token").sortWithinPartitions("token", "node").mapInArrow(partial(_groups, percent=percent), "a long, b long, shared int, na int, nb int")
@@ -291,10 +299,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     need = F.ceil(percent * (n + m) / F.lit(100 + percent)) - F.greatest(n - prefix_sql(n, percent), m - prefix_sql(m, percent))
     candidates = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max(F.col("shared").isNull()).alias("sure"), F.max("na").alias("na"), F.max("nb").alias("nb")).where(F.col("sure") | (F.col("shared") >= need))
     blocks = scratch.save(connected_components(candidates.select("a", "b"), scratch))
-    wanted = spark.sparkContext.broadcast(IdFilter.of(blocks, "node"))
-    sets = own.select("text").mapInArrow(partial(_sets_of, k=k, wanted=wanted), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    placed = scratch.save(blocks.join(sets, "node").select(F.col("component").alias("block"), "node", "shingles"))
-    groups = scratch.save(connected_components(linked_in_blocks(placed, scratch, partial(_link_block, percent=percent), CELL), scratch))
+    rows = members.where("n > 0").groupBy(F.col("s1").alias("node")).agg(F.min("row").alias("row"))
+    chosen = scratch.save(blocks.join(rows, "node").select(F.col("component").alias("block"), "node", "row"))
+    wanted = spark.sparkContext.broadcast(IdFilter.of(chosen, "row"))
+    sets = own.select("row", "text").mapInArrow(partial(_sets_of, k=k, wanted=wanted), "row long, shingles binary").groupBy("row").agg(F.first("shingles").alias("shingles"))
+    placed = scratch.save(chosen.join(sets, "row").select("block", "node", "shingles"))
+    groups = scratch.save(connected_components(linked_in_blocks(placed, scratch, partial(_link_blocks, percent=percent), CELL), scratch))
     firsts = members.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("first"))
     named = firsts.join(groups, F.col("s1") == F.col("node"), "left").withColumn("group", F.coalesce("component", "s1"))
     lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("lowest"))
@@ -302,5 +312,5 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = named.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("lowest", "first").alias("named"))
     out = members.join(named, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
     out = scratch.save(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("named")).otherwise(F.col("id")).alias("component_id")))
-    scratch.drop(seen, blocks, placed, groups)
+    scratch.drop(seen, blocks, chosen, placed, groups)
     return out
