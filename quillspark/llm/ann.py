@@ -20,8 +20,8 @@ from quillspark.llm.vectors import matrix, packed, rows_binary
 CODEWORDS = 256
 BEAM = 4
 #: Rows of vectors in a block, and queries in one.
-ROW_BLOCK = 16384
-QUERY_BLOCK = 1024
+ROW_BLOCK = 8192
+QUERY_BLOCK = 16384
 #: Standard deviations of a score's error that the margin allows for.
 MARGIN = 3.0
 
@@ -85,8 +85,8 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
     return codes, left
 
 
-def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, left: np.ndarray, books: np.ndarray, k: int):
-    """Exact top k of the block for each query, among the vectors that the lookup tables let through."""
+def search_block(query_rows: np.ndarray, q: np.ndarray, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, codes: np.ndarray, left: np.ndarray, books: np.ndarray, k: int):
+    """(query, row) numbers and scores of the exact top k of the block for each query, among the vectors that the lookup tables let through; query_rows and rows name rows."""
     tables = np.einsum("qd,swd->sqw", q.astype(np.float32), books)
     norm = np.sqrt((q * q).sum(1)).astype(np.float32)
     scores = np.zeros((len(q), len(x)), np.float32)
@@ -96,10 +96,10 @@ def search_block(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.nd
     margin = left * np.float32(MARGIN / np.sqrt(q.shape[1]))
     out = []
     for i in range(len(q)):
-        may = np.flatnonzero((scores[i] + margin * norm[i] >= cut[i]) & (ids != query_ids[i]))
+        may = np.flatnonzero((scores[i] + margin * norm[i] >= cut[i]) & (rows != query_rows[i]))
         exact = (x[may].astype(np.float64) * q[i]).sum(1)
         order = np.lexsort((ids[may], -exact))[:k]
-        out.append((np.full(len(order), query_ids[i]), ids[may][order], exact[order]))
+        out.append((np.full(len(order), i), may[order], exact[order]))
     return [np.concatenate(z) for z in zip(*out)]
 
 
@@ -110,13 +110,15 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str =
     all candidates if there are fewer than k. Every row is indexed; the codebooks alone are fitted on
     the sample_rows rows of smallest hash. Vectors that are null, empty, zero or hold null or non-finite
     components take no part, nor do rows with a null id or with another dimension than the commonest of
-    the sample. Rows that repeat an id and vector count once; a row is never its own id's neighbour.
-    An empty table gives an empty result; other columns are ignored.
+    the sample. Rows that repeat an id and vector count once; different vectors under one id are rows of
+    their own: each is a query with its own ranks, and a neighbour of the others. Ids are cast to long. An empty
+    table gives an empty result; other columns are ignored.
     """
     spark = vectors.sparkSession
     schema = f"query_id long, rank int, {id_col} long, score double"
     scratch = Scratch(spark, "ann")
-    own = scratch.save(packed(vectors, id_col, vec_col).dropDuplicates(["id", "v"]))
+    row = F.xxhash64("id", "v")  # a row's name
+    own = scratch.save(packed(vectors, id_col, vec_col).dropDuplicates(["id", "v"]).withColumn("row", row))
     sample = own.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "v").limit(sample_rows).toArrow()  # a bounded sample
     if not sample.num_rows:
         return spark.createDataFrame([], schema)
@@ -129,26 +131,27 @@ def nearest_neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str =
         for b in batches:
             if b.num_rows:
                 codes, left = encode(matrix(b.column(1), d), books.value)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), rows_binary(codes), pa.array(left)], ["id", "v", "codes", "left"])
+                yield pa.RecordBatch.from_arrays([*b.columns, rows_binary(codes), pa.array(left)], ["id", "v", "row", "codes", "left"])
 
     same = own.where(F.col("d") == d)
     n = same.count()
     asked = same.where(is_query(F.col("id")))
     row_blocks, query_blocks = max(1, -(-n // ROW_BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
-    rows = same.select("id", "v").mapInArrow(index, "id long, v binary, codes binary, left float")
-    rows = rows.withColumn("row_block", F.pmod(F.xxhash64("id"), F.lit(row_blocks))).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    asked = asked.withColumn("query_block", F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(query_blocks)).cast("int")).withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
+    rows = same.select("id", "v", "row").mapInArrow(index, "id long, v binary, row long, codes binary, left float")
+    rows = rows.withColumn("row_block", F.pmod("row", F.lit(row_blocks))).withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    asked = asked.withColumn("query_block", F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(query_blocks)).cast("int")).withColumn("row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
 
     def search(left, right):
-        empty = pa.table({"query_id": pa.array([], pa.int64()), id_col: pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        names = ["query_row", "query_id", "row", id_col, "score"]
         if not left.num_rows or not right.num_rows:
-            return empty
-        query_ids, q = right.column("id").to_numpy(), matrix(right.column("v"), d).astype(np.float64)
-        ids, x, codes, rest = left.column("id").to_numpy(), matrix(left.column("v"), d), matrix(left.column("codes"), stages, np.uint8), left.column("left").to_numpy()
-        found = [search_block(query_ids[at : at + 256], q[at : at + 256], ids, x, codes, rest, books.value, k) for at in range(0, len(q), 256)]
-        a, b, s = (np.concatenate(z) for z in zip(*found))
-        return pa.table({"query_id": pa.array(a, pa.int64()), id_col: pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
-
-    found = rows.groupBy("row_block", "query_block").cogroup(asked.groupBy("row_block", "query_block")).applyInArrow(search, f"query_id long, {id_col} long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
+            return pa.table([pa.array([], pa.int64())] * 4 + [pa.array([], pa.float64())], names)
+        left, right = left.sort_by("row"), right.sort_by("row")
+        query_rows, query_ids, q = right.column("row").to_numpy(), right.column("id").to_numpy(), matrix(right.column("v"), d).astype(np.float64)
+        own, ids, x, codes, rest = left.column("row").to_numpy(), left.column("id").to_numpy(), matrix(left.column("v"), d), matrix(left.column("codes"), stages, np.uint8), left.column("left").to_numpy()
+        found = [search_block(query_rows[at : at + 256], q[at : at + 256], own, ids, x, codes, rest, books.value, k) for at in range(0, len(q), 256)]
+        i, j, score = (np.concatenate(z) for z in zip(*((a + 256 * n, b, s) for n, (a, b, s) in enumerate(found))))
+        return pa.table([pa.array(z) for z in (query_rows[i], query_ids[i], own[j], ids[j], score)], names)
+
+    found = rows.groupBy("row_block", "query_block").cogroup(asked.groupBy("row_block", "query_block")).applyInArrow(search, f"query_row long, query_id long, row long, {id_col} long, score double")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), id_col, "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), id_col, "score")

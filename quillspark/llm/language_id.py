@@ -135,6 +135,15 @@ def _frequencies(batches):
     yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([_pack(df)], pa.binary())], ["block", "values"])
 
 
+def _sparse(batches, idf: np.ndarray):
+    """(id hash, lang, places, values) of the texts' weighted n-grams: a bounded number for each."""
+    for b in batches:
+        for first, counts, _ in blocks(b.column(1)):
+            x = weighted(counts, idf)
+            at = [np.flatnonzero(r).astype(np.int32) for r in x]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(x)), b.column(2).slice(first, len(x)), pa.array([a.tobytes() for a in at], pa.binary()), pa.array([r[a].tobytes() for r, a in zip(x, at)], pa.binary())], ["key", "lang", "at", "x"])
+
+
 def fit(labelled: DataFrame, sample_rows: int, seed: int):
     """(languages, idf, weights, temperature) from (id, text, lang), or None if there is nothing to learn from."""
     sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row for each language
@@ -145,14 +154,13 @@ def fit(labelled: DataFrame, sample_rows: int, seed: int):
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     each = max(1, sample_rows // len(langs))
     share = F.coalesce(F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, each / sizes[k]))])[F.col("lang")], F.lit(0.0))
-    sample = labelled.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows).toArrow()
-    rows = sample.select(["id", "text", "lang"]).sort_by([("id", "ascending"), ("lang", "ascending"), ("text", "ascending")])
+    chosen = labelled.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < share * (1 << 30))
+    least = F.struct(F.xxhash64(F.lit(seed), "id"), F.xxhash64("text"))  # if ids repeat, the rows of smallest hashes
+    key = chosen.select(F.xxhash64("id", "text").alias("key"), "text", "lang", least.alias("order")).orderBy("order", "lang").limit(2 * sample_rows)
+    found = key.select("key", "text", "lang").mapInArrow(lambda b: _sparse(b, idf), "key long, lang string, at binary, x binary").toArrow()
+    rows = found.sort_by([("key", "ascending"), ("lang", "ascending")])
     labels = np.array([langs.index(x) for x in rows.column("lang").to_pylist()], np.int64)
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    for _, counts, _ in blocks(rows.column("text").combine_chunks()):
-        for x in weighted(counts, idf):
-            at = np.flatnonzero(x)
-            held.append((at.astype(np.int32), x[at]))
+    held = [(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32)) for a, x in zip(rows.column("at").to_pylist(), rows.column("x").to_pylist())]
     order = np.random.default_rng(seed).permutation(len(held))
     apart = order[: len(order) // 5] if len(order) >= 50 else order[:0]
     model = FtrlMultinomial(len(langs))

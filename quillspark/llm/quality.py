@@ -144,8 +144,8 @@ def _features(batches):
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int, seed: int) -> tuple[GatedAttention | None, float]:
     """(model, share of label 1) from docs (id, text) and labels (id, label), on at most sample_rows labelled ids."""
     n = labels.count()
-    chosen = labels.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < min(1.0, sample_rows / max(n, 1)) * (1 << 30)).limit(2 * sample_rows)
-    table = docs.join(F.broadcast(chosen), "id").select("id", "text", "label").mapInArrow(_features, "id long, bag binary, label int").limit(4 * sample_rows).toArrow()
+    chosen = labels.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < min(1.0, sample_rows / max(n, 1)) * (1 << 30)).orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(2 * sample_rows)
+    table = docs.join(F.broadcast(chosen), "id").select("id", "text", "label").mapInArrow(_features, "id long, bag binary, label int").toArrow()  # the rows of at most 2 * sample_rows ids
     bags = sorted(zip(table.column("id").to_pylist(), table.column("bag").to_pylist(), table.column("label").to_pylist()))
     share = float(np.mean([y for _, _, y in bags])) if bags else 0.5
     bags = [x for x in bags if x[1]]

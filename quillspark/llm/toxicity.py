@@ -236,7 +236,7 @@ def _labelled_texts(docs: DataFrame, marks: DataFrame) -> DataFrame:
             if own.any():
                 yield b.filter(pa.array(own))
 
-    return docs.where("id is not null").mapInArrow(some, "id long, text string").join(marks.hint("merge"), "id").select("id", "text", "label")
+    return docs.where("id is not null").mapInArrow(some, "id long, text string").join(marks, "id").select("id", "text", "label")
 
 
 def _grams(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +265,7 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
     marks = scratch.save(marks.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(5))))
     apart = marks.where("fold = 0").select("id", "label")
     share = min(1.0, sample_rows / max(apart.count(), 1))
-    some = scratch.save(apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).limit(2 * sample_rows))
+    some = scratch.save(apart.where(F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(1 << 30)) < share * (1 << 30)).orderBy(F.xxhash64(F.lit(seed + 1), "id"), "id").limit(2 * sample_rows))
     sample = scratch.save(docs.join(F.broadcast(some), "id").select("id", "text", "label"))
     texts = _labelled_texts(docs, marks.select("id", "label").join(F.broadcast(some.select("id")), "id", "left_anti"))
     most, rest = _grams(texts), _grams(sample)
@@ -287,7 +287,7 @@ def train(docs: DataFrame, marks: DataFrame, scratch: Scratch, sample_rows: int,
                 x = scorer.features(data, offsets)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(x)), pa.array(x.tolist(), pa.list_(pa.float64())), b.column(2).slice(first, len(x))], ["id", "x", "label"])
 
-    known = sample.mapInArrow(features, "id long, x array<double>, label int").limit(4 * sample_rows).toArrow().sort_by("id")
+    known = sample.mapInArrow(features, "id long, x array<double>, label int").toArrow()  # the rows of at most 2 * sample_rows ids
     scratch.drop(sample)
     y = np.array(known.column("label").to_pylist(), np.float64)
     if len(set(y)) < 2:

@@ -150,15 +150,15 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     null, empty, zero or hold null or non-finite components, and vectors of different lengths, link with
     nothing. Rounds of so many passes run until a pair at the threshold would be found with probability
     recall if vectors were spread, and on until a round's joins are at most 1 - recall of all. Equal
-    vectors are collapsed before the passes and counted as links. A row that repeats both
-    id and vector counts once; different vectors under one id give a row each. Rows with a null id are
-    left out; an empty table gives an empty result; other columns are ignored.
+    vectors are collapsed before the passes and counted as links, those of rows that repeat an id too.
+    Ids are cast to long; a row with a null id links like others, but is kept only where no row of its
+    component has an id (its component_id is null then). An empty table gives an empty result; other columns
+    are ignored.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "vector-dedup")
-    ids = vectors.where(F.col(id_col).isNotNull())
-    held = scratch.save(packed(ids, id_col, vec_col).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(7), "v")).dropDuplicates(["id", "h1", "h2"]))
-    nodes = scratch.save(held.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("d").alias("d"), F.first("v").alias("v")))
+    held = scratch.save(packed(vectors, id_col, vec_col, null_ids=True).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit(7), "v")))
+    nodes = scratch.save(held.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("d").alias("d"), F.first("v").alias("v")).withColumn("id", F.col("h1")))
     n = nodes.count()
     parts = max(spark.sparkContext.defaultParallelism, -(-n * passes // 200_000))
     sums = nodes.select("d", "v").mapInArrow(_sums, "d int, n long, total binary").groupBy("d").applyInArrow(_summed, "d int, n long, total binary")
@@ -180,9 +180,11 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: st
     other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     cells = other.select(F.when(F.col("cells") == 1, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.col("component")).alias("bin"), F.when(F.col("cells") == 1, -1).otherwise(F.least("chunk", "other")).alias("i"), F.when(F.col("cells") == 1, -1).otherwise(F.greatest("chunk", "other")).alias("j"), (F.col("chunk") > F.col("other")).cast("int").alias("side"), "component", "id", "copies", "d", "v")
     counted = cells.groupBy("bin", "i", "j").applyInArrow(on_groups(_count_links, threshold=threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
-    named = nodes.select("h1", "h2", "copies", F.col("id").alias("first")).join(groups.select(F.col("node").alias("first"), "component"), "first", "left").join(counted.withColumnRenamed("id", "first"), "first", "left")
-    found = held.select("id", "h1", "h2").join(named, ["h1", "h2"]).select("id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n"), F.coalesce("component", "first").alias("c"))
-    odd = ids.select(F.col(id_col).cast("long").alias("id")).join(held.select("id").distinct(), "id", "left_anti").distinct().select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
-    out = scratch.save(found.union(odd).select(F.col("id").alias(id_col), F.col("n").alias("n_links"), F.col("c").alias("component_id"), (F.col("id") == F.col("c")).alias("kept")))
+    named = nodes.select("h1", "h2", "copies", "first").join(groups.select(F.col("node").alias("h1"), "component"), "h1", "left").join(counted.withColumnRenamed("id", "h1"), "h1", "left")
+    lowest = named.where("component is not null").groupBy("component").agg(F.min("first").alias("lowest"))
+    named = named.join(lowest, "component", "left").select("h1", "h2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n"), F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("lowest")).alias("c"))
+    found = held.select("id", "h1", "h2").join(named, ["h1", "h2"]).select("id", "n", "c")
+    odd = packed(vectors, id_col, vec_col, null_ids=True, odd=True).select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
+    out = scratch.save(found.union(odd).select(F.col("id").alias(id_col), F.col("n").alias("n_links"), F.col("c").alias("component_id"), F.col("id").eqNullSafe(F.col("c")).alias("kept")))
     scratch.drop(held, nodes, groups)
     return out

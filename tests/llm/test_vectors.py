@@ -47,8 +47,8 @@ def test_odd_vectors_link_with_nothing(spark):
     for i in range(900, 906):
         assert out[i] == (0, i, True)
     assert out[906] == (1, 906, True) and out[907] == (1, 906, False)
-    assert out[908] == (1, 908, True) and out[909] == (1, 908, False)
-    assert None not in out
+    assert out[908] == (3, 908, True) and out[909] == (3, 908, False)  # the row that repeats 909 is a vector of its own
+    assert out[None] == (3, 908, False)
     empty = frame(spark, vectors()[600:620]).limit(0)
     assert embedding_near_dedup(empty).count() == 0
 
@@ -72,6 +72,26 @@ def test_neighbours_recall_order_and_exact_scores(spark):
     assert hit >= 0.95 * 20 * len(found)
 
 
+def test_neighbours_of_vectors_that_share_an_id(spark):
+    x = vectors()[600:630].astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(x[:28])] + [(0, x[28].tolist()), (0, x[28].tolist()), (7, x[29].tolist())]
+    own = [r for k, r in enumerate(rows) if k != 29]
+    found = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i == 0, 5).collect()
+    assert sorted(r.rank for r in found) == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+    want = []
+    for k in (0, 28):
+        near = sorted((-float(np.dot(x[k], x[j])), own[j][0]) for j in range(30) if j != k)[:5]
+        want += [(n + 1, i, round(-s, 9)) for n, (s, i) in enumerate(near)]
+    assert sorted((r["rank"], r.vec_id, round(r.score, 9)) for r in found) == sorted(want)
+
+
+def test_vectors_that_share_an_id_or_have_none(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.999, 0.01, 0.0]
+    df = spark.createDataFrame([(5, a, 1), (5, b, 1), (5, a, 1), (3, c, 1), (None, b, 1), (None, [0.0, 0.0, 1.0], 1), (9, None, 1), (None, None, 1)], "vec_id long, embedding array<double>, h1 int")
+    got = sorted(map(str, map(tuple, embedding_near_dedup(df).collect())))
+    assert got == sorted(map(str, [(5, 2, 3, False), (5, 1, 5, True), (5, 2, 3, False), (3, 2, 3, True), (None, 1, 5, False), (None, 0, None, True), (9, 0, 9, True), (None, 0, None, True)]))
+
+
 def test_neighbours_of_few_or_odd_vectors(spark):
     odd = [(900, None, 0), (920, [0.0] * 16, 0), (940, [math.nan] * 16, 0), (None, [1.0] * 16, 0)]
     rows = nearest_neighbours(frame(spark, vectors()[600:608], odd), lambda i: i % 20 == 0, 20).collect()
