@@ -42,9 +42,15 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-def clean(text: Column, compose: bool = False) -> Column:
-    """White space collapsed to single spaces and trimmed; with compose, NFKC first."""
-    return F.trim(F.regexp_replace(nfkc(text) if compose else text, r"(?U)\s+", " "))
+def composed(text: Column) -> Column:
+    """NFKC; ASCII texts are as it leaves them, so only others go to Python."""
+    odd = text.rlike(r"[^\x00-\x7F]")
+    return F.when(odd, nfkc(F.when(odd, text))).otherwise(text)
+
+
+def clean(text: Column, compose: bool = True) -> Column:
+    """NFKC, white space collapsed to single spaces and trimmed; inside functions over arrays, compose before and pass False."""
+    return F.trim(F.regexp_replace(composed(text) if compose else text, r"(?U)\s+", " "))
 
 
 def tokens(text: Column) -> Column:
@@ -56,8 +62,9 @@ def lower_tokens(text: Column) -> Column:
     return F.transform(tokens(text), F.lower)
 
 
-def normalized(text: Column) -> Column:
-    return F.array_join(lower_tokens(text), " ")
+def normalized(text: Column, compose: bool = True) -> Column:
+    """The lower-case tokens of the composed text, with single spaces."""
+    return F.array_join(lower_tokens(composed(text) if compose else text), " ")
 
 
 def word_count(text: Column) -> Column:
@@ -214,9 +221,14 @@ def longest_common_phrase(left: pd.Series, right: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["token_count", "phrase"])
 
 
-def named_concepts(text: Column, stop: Iterable[str] = ("The", "This", "That", "And", "But", "A", "An", "It", "He", "She", "They", "We", "You", "I"), most: int = 8) -> Column:
+# What counts as a named concept, and the words that don't.
+CONCEPT = r"(?U)\b(?:[A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){0,2}|[A-Z]{2,})\b"
+NO_CONCEPTS = ("Let", "Well", "Okay", "What", "So", "And", "But", "The", "I", "You", "He", "She", "It", "They", "We", "This", "That")
+
+
+def named_concepts(text: Column, stop: Iterable[str] = NO_CONCEPTS, most: int = 8) -> Column:
     """Runs of up to three capitalised words and words in capitals, the first of each spelling without regard to case, at most so many."""
-    found = F.regexp_extract_all(text, F.lit(r"\b(?:[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,2}|[A-Z]{2,})\b"), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(CONCEPT), F.lit(0))
     found = F.filter(found, lambda w: ~w.isin(*stop))
     first = F.aggregate(found, F.array().cast("array<string>"), lambda seen, w: F.when(F.exists(seen, lambda x: F.lower(x) == F.lower(w)), seen).otherwise(F.array_append(seen, w)))
     return F.slice(first, 1, most)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillspark.functions.hashing import hex64, simhash64
-from quillspark.functions.text import normalized
+from quillspark.functions.text import composed, normalized
 from quillspark.operators.training import bucketed
 
 # Fixed values.
@@ -71,7 +71,7 @@ def stratified_sample(records: DataFrame, count: int, source: str = "source_cont
 def gold_entries(sample: DataFrame, text: str) -> DataFrame:
     """What a gold manifest keeps of each record: no text, only hashes."""
     body = normalized(F.col(text))
-    return sample.select("record_id", "source_content_hash", F.sha2(body, 256).alias("transcript_sha256"), hex64(simhash64(F.col(text))).alias("transcript_simhash64"), "strata")
+    return sample.select("record_id", "source_content_hash", F.sha2(body, 256).alias("transcript_sha256"), hex64(simhash64(composed(F.col(text)))).alias("transcript_simhash64"), "strata")
 
 
 def selection_id(entries: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ RULES = (
     (("doge", "government workers"), all, {
         "topic_central_idea": {"topic": ("DOGE government workforce cuts", 0.72), "central_idea": ("The speaker argues that arbitrary workforce cuts harm public workers.", 0.68)},
         "objective_format": {"content_objective": ("persuade", 0.63), "content_format": ("commentary", 0.78)},
-        "conditional_context": {"required_concepts": ("DOGE, government workers, consequences", 0.75), "hook_intent": ("open a critical discussion through a question", 0.58)},
+        "conditional_context": {"required_concepts": (["DOGE", "government workers", "consequences"], 0.75), "hook_intent": ("open a critical discussion through a question", 0.58)},
     }),
     (("how to", "step"), any, {"objective_format": {"content_objective": ("educate", 0.62), "content_format": ("tutorial", 0.62)}}),
 )
@@ -49,10 +49,10 @@ def semantic_input(variant: str, client: Column | None = None) -> Column:
     return F.to_json(F.struct(*parts))
 
 
-def rule_adapter(request: dict, stage: str) -> dict[str, tuple[str, float]]:
-    """The conservative rules; the first whose words occur speaks."""
+def rule_adapter(request: dict, stage: str, rules=RULES) -> dict[str, tuple[str | list[str], float]]:
+    """Conservative rules; the first whose words occur speaks. Values are texts or lists of texts (JSON in the result)."""
     text = request["transcript"].lower()
-    for words, how, said in RULES:
+    for words, how, said in rules:
         if how(w in text for w in words):
             if stage == "single_pass":
                 return {k: v for part in said.values() for k, v in part.items()}
@@ -73,7 +73,7 @@ def infer(requests: DataFrame, adapter: Callable[[dict, str], dict] = rule_adapt
                         said = adapter(json.loads(request), stage)
                         if not all(0 <= c <= 1 for _, c in said.values()):
                             raise ValueError("confidence must be between 0 and 1")
-                        fields, error = [(k, v, float(c)) for k, (v, c) in said.items()], None
+                        fields, error = [(k, v if isinstance(v, str) else json.dumps(v, ensure_ascii=False), float(c)) for k, (v, c) in said.items()], None
                         break
                     except Exception as e:  # an adapter may fail in any way
                         error = f"{type(e).__name__}: {e}"

@@ -153,16 +153,20 @@ def diversified(hits: DataFrame, top_k: int, strength: float, group: str | None
     return hits.groupBy(*([group] if group else [])).applyInPandas(choose, schema)
 
 
-def cosine_topk(vectors: DataFrame, key: str, vector: str, query: list[float], k: int) -> DataFrame:
-    """The k vectors of largest cosine to one query."""
-    score = cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in query]))
+def cosine_topk(vectors: DataFrame, key: str, vector: str, query: list[float] | DataFrame, k: int) -> DataFrame:
+    """The k vectors of largest cosine to one query: a list, or a table whose only column has it (without a row there are no hits)."""
+    if isinstance(query, DataFrame):
+        vectors = vectors.crossJoin(F.broadcast(query.toDF("_q").limit(1)))  # one row
+        score = cosine(F.col(vector), F.col("_q"))
+    else:
+        score = cosine(F.col(vector), F.array(*[F.lit(float(x)) for x in query]))
     return vectors.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
 def structurally_similar(records: DataFrame, record_id: str, k: int = 10) -> DataFrame:
     """The k records most like one record by the Jaccard similarity of fingerprints; those of its own source then go.
 
-    Similar records are found through shared tokens; records that share none have similarity 0 and come by id.
+    All records are compared with the one; records that share no token have similarity 0 and come by id.
     """
     own = records.where(F.col("record_id") == record_id).select(F.col("fingerprint").alias("_f"), F.col("source_content_hash").alias("_source"), F.col("record_id").alias("_id"))
     scored = records.crossJoin(F.broadcast(own)).where(F.col("record_id") != F.col("_id"))  # one row

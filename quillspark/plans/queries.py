@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as t
 from quillspark.functions.hashing import hash_embedding, sha_split
-from quillspark.operators import dedup, gold, leakage, outcomes, reconstruction, registry, rules, search, suitability, training
+from quillspark.operators import annotations, dedup, gold, leakage, outcomes, reconstruction, registry, rules, search, suitability, training
 from quillspark.plans import corpus
 from quillspark.sources import sinks
 
@@ -254,14 +254,14 @@ def longest_phrase_benchmark(spark, sf_dir):
 @query(f"WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), f AS (SELECT doc_id, l[1] AS a, array_to_string(l[2:], chr(10)) AS b FROM d), k AS (SELECT doc_id, {_TOKENS.replace('text', 'a')} AS wa, {_TOKENS.replace('text', 'b')} AS wb FROM f), g AS (SELECT doc_id, wa, wb, {_GRAMS.replace('(w)', '(wa)').replace('w[', 'wa[')} AS ga, {_GRAMS.replace('(w)', '(wb)').replace('w[', 'wb[')} AS gb FROM k) SELECT doc_id, len(wa)::INT AS conditioning_tokens, len(wb)::INT AS target_tokens, len(list_intersect(ga, gb))::INT AS shared, len(list_intersect(list_distinct(wa), list_distinct(wb)))::INT AS common_words FROM g")
 def leakage_of_openings(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("l"))
-    rows = docs.select("doc_id", t.lower_tokens(F.element_at("l", 1)).alias("a"), t.lower_tokens(F.array_join(F.slice("l", 2, 10_000_000), "\n")).alias("b"))
+    rows = docs.select("doc_id", t.lower_tokens(F.element_at("l", 1)).alias("a"), t.lower_tokens(F.array_join(F.slice("l", F.lit(2), F.size("l")), "\n")).alias("b"))
     return rows.select("doc_id", F.size("a").alias("conditioning_tokens"), F.size("b").alias("target_tokens"), F.size(F.array_intersect(t.ngrams(F.col("a"), 5), t.ngrams(F.col("b"), 5))).alias("shared"), F.size(F.array_intersect(F.array_distinct("a"), F.array_distinct("b"))).alias("common_words"))
 
 
 @query()
 def leakage_severity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("l"))
-    rows = docs.select("doc_id", leakage.leakage(F.element_at("l", 1), F.array_join(F.slice("l", 2, 10_000_000), "\n")).alias("leakage"))
+    rows = docs.select("doc_id", leakage.leakage(F.element_at("l", 1), F.array_join(F.slice("l", F.lit(2), F.size("l")), "\n")).alias("leakage"))
     return rows.select("doc_id", "leakage.severity", "leakage.longest_run", "leakage.token_set_jaccard", "leakage.shared_5gram_share")
 
 
@@ -288,24 +288,24 @@ def cross_split_leak(spark, sf_dir):
 _TERMS = "['licensed', 'under', 'the', 'apache', 'license']"
 
 
-@query(f"WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS average FROM d), p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE list_contains({_TERMS}, term) GROUP BY 1, 2), f AS (SELECT term, greatest(ln((n - count(*) + 0.5) / (count(*) + 0.5)), 1e-6) AS idf FROM p, n GROUP BY term, n), s AS (SELECT p.doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(w) / average))) AS score, count(*)::BIGINT AS matched FROM p JOIN f USING (term) JOIN d ON d.doc_id = p.doc_id, n GROUP BY 1) SELECT doc_id, matched FROM s ORDER BY round(score, 9) DESC, doc_id LIMIT 50")
+@query(f"WITH d AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents), n AS (SELECT count(*) AS n, avg(len(w)) AS average FROM d), p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE list_contains({_TERMS}, term) GROUP BY 1, 2), f AS (SELECT term, greatest(ln((n - count(*) + 0.5) / (count(*) + 0.5)), 1e-6) AS idf FROM p, n GROUP BY term, n), s AS (SELECT p.doc_id, sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(w) / average))) AS score, count(*)::BIGINT AS matched FROM p JOIN f USING (term) JOIN d ON d.doc_id = p.doc_id, n GROUP BY 1) SELECT doc_id, matched, round(score, 6) AS score FROM s ORDER BY round(score, 9) DESC, doc_id LIMIT 50")
 def bm25_topk(spark, sf_dir):
     index, lengths = search.postings(read(spark, sf_dir, "documents"), "doc_id", "text")
     hits = search.bm25(index, lengths, "doc_id", search.query_tokens("licensed under the apache license"))
-    return hits.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(50).select("doc_id", "matched")
+    return hits.orderBy(F.desc(F.round("score", 9)), "doc_id").limit(50).select("doc_id", "matched", F.round("score", 6).alias("score"))
 
 
-@query("WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], (SELECT v FROM q)::DOUBLE[]) AS score FROM embeddings) SELECT vec_id FROM s ORDER BY round(score, 9) DESC, vec_id LIMIT 25")
+@query("WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], (SELECT v FROM q)::DOUBLE[]) AS score FROM embeddings) SELECT vec_id, round(score, 6) AS score FROM s ORDER BY round(score, 9) DESC, vec_id LIMIT 25")
 def cosine_topk(spark, sf_dir):
     vectors = read(spark, sf_dir, "embeddings")
-    q = vectors.where("vec_id = 0").first()["embedding"]
-    return search.cosine_topk(vectors, "vec_id", "embedding", q, 25).select("vec_id")
+    q = vectors.where("vec_id = 0").select("embedding")
+    return search.cosine_topk(vectors, "vec_id", "embedding", q, 25).select("vec_id", F.round("score", 6).alias("score"))
 
 
 @query()
 def mmr_topk(spark, sf_dir):
     vectors = read(spark, sf_dir, "embeddings")
-    q = vectors.where("vec_id = 0").first()["embedding"]
+    q = vectors.where("vec_id = 0").select("embedding")
     hits = search.cosine_topk(vectors, "vec_id", "embedding", q, 500).join(vectors, "vec_id").select(F.col("vec_id").cast("string").alias("record_id"), "score", F.col("embedding").cast("array<double>").alias("vector"))
     return search.diversified(hits, 20, 0.3).select("record_id", "place")
 
@@ -361,13 +361,17 @@ _JUDGED = f"""WITH p AS (SELECT doc_id, {_WORDS} AS w FROM documents), j AS (
 r AS (SELECT *, CASE WHEN record_id % 9 = 0 THEN CASE WHEN predicted IS NULL THEN 'correct_abstention' ELSE 'unsupported_inference' END WHEN predicted IS NULL THEN 'unnecessary_abstention' WHEN predicted = truth THEN 'accepted' ELSE 'wrong' END AS outcome FROM j) """
 
 
+#: Outcomes and the rates that count them.
+_RATES = (("accepted", "acceptance_rate"), ("unsupported_inference", "unsupported_inference_rate"), ("unsupported_inference", "false_inference_rate"), ("correct_abstention", "correct_abstention_rate"), ("unnecessary_abstention", "unnecessary_abstention_rate"))
+
+
 def _judged(spark, sf_dir):
     return gold.judged(_labels(spark, sf_dir), _predictions(spark, sf_dir))
 
 
-@query(_JUDGED + "SELECT field, count(*) FILTER (outcome = 'accepted')::BIGINT AS accepted, count(*) FILTER (outcome = 'wrong')::BIGINT AS wrong, count(*) FILTER (outcome = 'unsupported_inference')::BIGINT AS unsupported_inference, count(*) FILTER (outcome = 'unnecessary_abstention')::BIGINT AS unnecessary_abstention, count(*) FILTER (outcome = 'correct_abstention')::BIGINT AS correct_abstention, count(*)::BIGINT AS total FROM r GROUP BY 1")
+@query(_JUDGED + "SELECT field, count(*) FILTER (outcome = 'accepted')::BIGINT AS accepted, count(*) FILTER (outcome = 'wrong')::BIGINT AS wrong, count(*) FILTER (outcome = 'unsupported_inference')::BIGINT AS unsupported_inference, count(*) FILTER (outcome = 'unnecessary_abstention')::BIGINT AS unnecessary_abstention, count(*) FILTER (outcome = 'correct_abstention')::BIGINT AS correct_abstention, count(*)::BIGINT AS total, " + ", ".join(f"round(count(*) FILTER (outcome = '{o}') / count(*), 4) AS {n}" for o, n in _RATES) + " FROM r GROUP BY 1")
 def field_metrics(spark, sf_dir):
-    return gold.field_metrics(_judged(spark, sf_dir)).select("field", "accepted", "wrong", "unsupported_inference", "unnecessary_abstention", "correct_abstention", "total")
+    return gold.field_metrics(_judged(spark, sf_dir)).select("field", "accepted", "wrong", "unsupported_inference", "unnecessary_abstention", "correct_abstention", "total", *[n for _, n in _RATES])
 
 
 @query(_JUDGED + "SELECT field, count(*) FILTER (outcome = 'accepted')::BIGINT AS accepted, count(*) FILTER (outcome IN ('wrong', 'unnecessary_abstention'))::BIGINT AS wrong, count(*) FILTER (outcome = 'correct_abstention')::BIGINT AS correct_abstention, count(*) FILTER (outcome = 'unsupported_inference')::BIGINT AS false_inference FROM r GROUP BY 1")
@@ -387,28 +391,39 @@ def confusion_matrix(spark, sf_dir):
     return gold.confusion(_pairs(spark, sf_dir))
 
 
-@query(_CONFUSION + ", a AS (SELECT field, prediction AS label, sum(n) AS k FROM c GROUP BY 1, 2), b AS (SELECT field, truth AS label, sum(n) AS k FROM c GROUP BY 1, 2) SELECT coalesce(a.field, b.field) AS field, coalesce(a.label, b.label) AS label, coalesce(b.k, 0)::BIGINT AS truth_count, coalesce(a.k, 0)::BIGINT AS predicted_count, coalesce(c.n, 0)::BIGINT AS true_positives FROM a FULL JOIN b ON a.field = b.field AND a.label = b.label LEFT JOIN c ON c.field = coalesce(a.field, b.field) AND c.prediction = coalesce(a.label, b.label) AND c.truth = c.prediction")
+_CLASSES = _CONFUSION + ", a AS (SELECT field, prediction AS label, sum(n) AS k FROM c GROUP BY 1, 2), b AS (SELECT field, truth AS label, sum(n) AS k FROM c GROUP BY 1, 2), k AS (SELECT coalesce(a.field, b.field) AS field, coalesce(a.label, b.label) AS label, coalesce(b.k, 0)::BIGINT AS truth_count, coalesce(a.k, 0)::BIGINT AS predicted_count, coalesce(c.n, 0)::BIGINT AS true_positives FROM a FULL JOIN b ON a.field = b.field AND a.label = b.label LEFT JOIN c ON c.field = coalesce(a.field, b.field) AND c.prediction = coalesce(a.label, b.label) AND c.truth = c.prediction), pr AS (SELECT *, CASE WHEN predicted_count > 0 THEN round(true_positives / predicted_count, 4) ELSE 0.0::DOUBLE END AS precision, CASE WHEN truth_count > 0 THEN round(true_positives / truth_count, 4) ELSE 0.0::DOUBLE END AS recall FROM k), m AS (SELECT *, CASE WHEN precision + recall > 0 THEN round(2 * precision * recall / (precision + recall), 4) ELSE 0.0::DOUBLE END AS f1 FROM pr) "
+
+
+@query(_CLASSES + "SELECT * FROM m")
 def class_counts(spark, sf_dir):
-    return gold.class_metrics(gold.confusion(_pairs(spark, sf_dir))).select("field", "label", "truth_count", "predicted_count", "true_positives")
+    return gold.class_metrics(gold.confusion(_pairs(spark, sf_dir)))
+
+
+@query(_CLASSES + "SELECT field, round(sum(f1::DECIMAL(10, 4))::DOUBLE / count(*), 4) AS macro_f1, count(*)::BIGINT AS label_count FROM m GROUP BY 1")
+def macro_f1(spark, sf_dir):
+    return gold.macro_f1(gold.class_metrics(gold.confusion(_pairs(spark, sf_dir))))
+
 
+_CALIBRATED = "count(*)::BIGINT AS total, count(*) FILTER (outcome = 'accepted')::BIGINT AS accepted, round(count(*) FILTER (outcome = 'accepted') / count(*), 4) AS acceptance_rate, round(avg(confidence), 4) AS mean_confidence, round(abs(round(avg(confidence), 4) - round(count(*) FILTER (outcome = 'accepted') / count(*), 4)), 4) AS calibration_gap FROM r GROUP BY 1"
 
-@query(_JUDGED + "SELECT CASE WHEN confidence IS NULL THEN 'unknown' WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END AS bucket, count(*)::BIGINT AS total, count(*) FILTER (outcome = 'accepted')::BIGINT AS accepted FROM r GROUP BY 1")
+
+@query(_JUDGED + "SELECT CASE WHEN confidence IS NULL THEN 'unknown' WHEN confidence >= 0.8 THEN 'high' WHEN confidence >= 0.6 THEN 'medium' ELSE 'low' END AS bucket, " + _CALIBRATED)
 def calibration_bands(spark, sf_dir):
-    return gold.band_calibration(_judged(spark, sf_dir)).select("bucket", "total", "accepted")
+    return gold.band_calibration(_judged(spark, sf_dir))
 
 
-@query()
+@query(_JUDGED + "SELECT round(sum(calibration_gap * total) / sum(total), 4) AS expected_calibration_error FROM (SELECT CASE WHEN confidence < 0.2 THEN '0' WHEN confidence < 0.4 THEN '2' WHEN confidence < 0.6 THEN '4' WHEN confidence < 0.8 THEN '6' ELSE '8' END AS bucket, " + _CALIBRATED.replace("FROM r", "FROM r WHERE confidence >= 0 AND confidence < 1.01") + ")")
 def calibration_error(spark, sf_dir):
     return gold.expected_calibration_error(gold.numeric_calibration(_judged(spark, sf_dir)))
 
 
-@query("WITH a AS (SELECT doc_id, 'quality' AS field, 'r1' AS who, quality AS v FROM labels UNION ALL SELECT doc_id, 'quality', 'r2', CASE WHEN doc_id % 4 = 0 THEN 1 - quality ELSE quality END FROM labels UNION ALL SELECT doc_id, 'toxic', 'r1', toxic FROM labels UNION ALL SELECT doc_id, 'toxic', 'r2', toxic FROM labels WHERE doc_id % 2 = 0), p AS (SELECT doc_id, field, count(*) AS k, count(DISTINCT v) AS d FROM a GROUP BY 1, 2 HAVING count(*) >= 2) SELECT field, count(*)::BIGINT AS compared, count(*) FILTER (d = 1)::BIGINT AS exact FROM p GROUP BY 1")
+@query("WITH a AS (SELECT doc_id, 'quality' AS field, 'r1' AS who, quality AS v FROM labels UNION ALL SELECT doc_id, 'quality', 'r2', CASE WHEN doc_id % 4 = 0 THEN 1 - quality ELSE quality END FROM labels UNION ALL SELECT doc_id, 'toxic', 'r1', toxic FROM labels UNION ALL SELECT doc_id, 'toxic', 'r2', toxic FROM labels WHERE doc_id % 2 = 0), p AS (SELECT doc_id, field, count(*) AS k, count(DISTINCT v) AS d FROM a GROUP BY 1, 2 HAVING count(*) >= 2) SELECT field, count(*)::BIGINT AS compared, count(*) FILTER (d = 1)::BIGINT AS exact, round(count(*) FILTER (d = 1) / count(*), 4) AS exact_rate FROM p GROUP BY 1")
 def agreement(spark, sf_dir):
     labels = read(spark, sf_dir, "labels")
     row = lambda who, field, v: labels.select(F.col("doc_id").alias("record_id"), F.lit(who).alias("reviewer_id"), F.lit(field).alias("field"), F.lit("value").alias("status"), F.array(v.cast("string")).alias("acceptable"))
     q, x = F.col("quality"), F.col("toxic")
     rows = row("r1", "quality", q).union(row("r2", "quality", F.when(F.col("doc_id") % 4 == 0, 1 - q).otherwise(q))).union(row("r1", "toxic", x)).union(row("r2", "toxic", x).where("record_id % 2 = 0"))
-    return gold.agreement(rows).select("field", "compared", "exact")
+    return gold.agreement(rows).select("field", "compared", "exact", "exact_rate")
 
 
 @query()
@@ -460,10 +475,11 @@ def state_counts(spark, sf_dir):
     return registry.state_counts(read(spark, sf_dir, "events").select(F.col("event_type").alias("state")))
 
 
-@query("WITH r AS (SELECT doc_id AS request, sha256(text) AS artifact, source || ':' || n_chars::VARCHAR AS content FROM documents WHERE doc_id % 2 = 0), k AS (SELECT doc_id, sha256(text) AS artifact, source || ':' || n_chars::VARCHAR AS content FROM documents WHERE doc_id % 2 = 1), c AS (SELECT request, 0 AS p, doc_id FROM r JOIN k ON k.artifact = r.artifact UNION ALL SELECT request, 1, doc_id FROM r JOIN k ON k.content = r.content), b AS (SELECT request, min(p) AS p FROM c GROUP BY 1) SELECT b.request, min(doc_id) AS doc_id, b.p = 0 AS same_artifact FROM b JOIN c ON c.request = b.request AND c.p = b.p GROUP BY b.request, b.p")
+@query("WITH r AS (SELECT doc_id AS request, sha256(text) AS artifact, source || ':' || n_chars::VARCHAR AS content FROM documents), k AS (SELECT doc_id, sha256(text) AS artifact, source || ':' || n_chars::VARCHAR AS content FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), c AS (SELECT request, 0 AS p, doc_id FROM r JOIN k ON k.artifact = r.artifact UNION ALL SELECT request, 1, doc_id FROM r JOIN k ON k.content = r.content), b AS (SELECT request, min(p) AS p FROM c GROUP BY 1) SELECT b.request, min(doc_id) AS doc_id, b.p = 0 AS same_artifact FROM b JOIN c ON c.request = b.request AND c.p = b.p GROUP BY b.request, b.p")
 def artifact_priority_lookup(spark, sf_dir):
     rows = read(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("artifact"), F.concat_ws(":", "source", F.col("n_chars").cast("string")).alias("content"))
-    return registry.lookup(rows.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "request"), rows.where("doc_id % 2 = 1"), "artifact", "content", "doc_id")
+    known = rows.join(read(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return registry.lookup(rows.withColumnRenamed("doc_id", "request"), known, "artifact", "content", "doc_id")
 
 
 @query("WITH c AS (SELECT user_id, count(*) AS attempts, count(*) FILTER (event_type = 'error') AS failures FROM events GROUP BY 1) SELECT user_id, attempts::BIGINT AS attempts, failures::BIGINT AS failures FROM c")
@@ -525,3 +541,57 @@ def training_manifests(spark, sf_dir):
 @query()
 def readiness_gates(spark, sf_dir):
     return _dataset(spark, sf_dir).gates
+
+
+def _briefs(spark, sf_dir):
+    """Briefs in long form: the source as topic, the length class as format, a sure audience for long texts."""
+    docs = read(spark, sf_dir, "documents")
+    field = lambda name, value, confidence, sources: F.struct(F.lit(name).alias("field"), value.alias("value"), F.lit(confidence).alias("confidence"), F.lit("model_inference").alias("evidence_type"), sources.alias("sources"))
+    some, none = F.array(F.lit("text")), F.array().cast("array<string>")
+    fields = F.array(
+        field("topic", F.col("source"), 0.7, some),
+        field("content_format", F.when(F.col("n_chars") > 100, "long").otherwise("short"), 0.6, F.when(F.col("n_chars") > 500, some).otherwise(none)),
+        field("central_idea", F.concat(F.col("source"), F.lit(" "), F.col("lang")), 0.99, some),
+    )
+    return docs.select(F.col("doc_id").alias("record_id"), F.inline(fields))
+
+
+@query("WITH n AS (SELECT count(*) AS n FROM documents), f AS (SELECT doc_id, CASE WHEN n_chars > 100 THEN 'long' ELSE 'short' END AS v, n_chars, source || ' ' || lang AS idea, source FROM documents) SELECT category, count(*)::BIGINT AS n FROM (SELECT 'format_collapse' AS category FROM f WHERE v IN (SELECT v FROM f GROUP BY v HAVING count(*) / (SELECT n FROM n) > 0.8) UNION ALL SELECT 'generic_topic_collapse' FROM f WHERE source IN (SELECT source FROM f GROUP BY 1 HAVING count(*) / (SELECT n FROM n) > 0.5) UNION ALL SELECT 'repeated_central_idea' FROM f WHERE idea IN (SELECT idea FROM f GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'suspiciously_high_confidence' FROM f UNION ALL SELECT 'empty_evidence' FROM f WHERE n_chars <= 500) GROUP BY 1")
+def anomaly_categories(spark, sf_dir):
+    return gold.anomalies(_briefs(spark, sf_dir)).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT conv_id AS record_id, role AS field, count(DISTINCT length(text) > 200)::BIGINT AS outputs FROM conversations GROUP BY 1, 2 HAVING count(DISTINCT length(text) > 200) > 1")
+def contaminated_fields(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations")
+    return gold.contamination(turns.select(F.col("conv_id").alias("record_id"), F.col("turn").alias("context_id"), F.col("role").alias("field"), (F.length("text") > 200).cast("string").alias("value")))
+
+
+@query(f"WITH p AS (SELECT count(*) AS records, count(*) * 3 AS requests, (sum({_WORDS}) * 3)::BIGINT AS input_tokens, count(*) * 360 AS output_tokens FROM documents), b AS (SELECT unnest([{{'band': 'low', 'f': 0.8::DOUBLE}}, {{'band': 'expected', 'f': 1.0::DOUBLE}}, {{'band': 'high', 'f': 1.3::DOUBLE}}]) AS b), s AS (SELECT b.band AS band, round_even(requests / records * 7500 * b.f, 0)::BIGINT AS requests, round_even(input_tokens / records * 7500 * b.f, 0)::BIGINT AS input_tokens, round_even(output_tokens / records * 7500 * b.f, 0)::BIGINT AS output_tokens FROM p, b) SELECT *, round(input_tokens / 1e6 * 2.0 + output_tokens / 1e6 * 8.0, 4) AS cost FROM s")
+def projected_costs(spark, sf_dir):
+    words = read(spark, sf_dir, "documents").select(t.word_count(t.clean(F.col("text"))).alias("w"))
+    pilot = words.agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) * 3).alias("requests"), (F.sum("w") * 3).cast("long").alias("input_tokens"), (F.count(F.lit(1)) * 360).alias("output_tokens"))
+    return gold.cost_projection(pilot, 7500, 2.0, 8.0)
+
+
+@query(_JUDGED + ", m AS (SELECT field, round(count(*) FILTER (outcome = 'accepted') / count(*), 4) AS a, round(count(*) FILTER (outcome = 'unsupported_inference') / count(*), 4) AS u FROM r GROUP BY 1), g AS (SELECT unnest([{'gate': 'minimum_human_reviewed_sources', 'passed': true}, {'gate': 'zero_high_severity_leakage', 'passed': true}, {'gate': 'central_idea_acceptance', 'passed': false}, {'gate': 'objective_acceptance', 'passed': false}, {'gate': 'format_acceptance', 'passed': false}, {'gate': 'unsupported_audience_inference', 'passed': false}]) AS g) SELECT g.gate AS gate, g.passed AS passed FROM g UNION ALL SELECT 'topic_acceptance', a >= 0.9 FROM m WHERE field = 'quality' UNION ALL SELECT 'false_cta_inference', u <= 0.02 FROM m WHERE field = 'toxic'")
+def gold_quality_gates(spark, sf_dir):
+    names = F.when(F.col("field") == "quality", "topic").otherwise("cta_intent")
+    return gold.quality_gates(gold.field_metrics(_judged(spark, sf_dir)).withColumn("field", names), 100, 0)
+
+
+@query("WITH d AS (SELECT 'lang' AS dimension, lang AS value, count(*)::BIGINT AS n FROM documents GROUP BY 2 UNION ALL SELECT 'long', (n_chars > 100)::VARCHAR, count(*)::BIGINT FROM documents GROUP BY 2), s AS (SELECT *, n / sum(n) OVER (PARTITION BY dimension) AS share FROM d) SELECT dimension, value, n, round(share, 6) AS share FROM s WHERE share > 0.7")
+def imbalanced_dimensions(spark, sf_dir):
+    rows = training.distributions(read(spark, sf_dir, "documents"), {"lang": F.col("lang"), "long": F.col("n_chars") > 100})
+    return training.imbalances(rows).select("dimension", "value", "n", F.round("share", 6).alias("share"))
+
+
+@query("SELECT l.doc_id AS record_id, 'quality' AS field, CASE WHEN l.doc_id % 7 = 0 THEN '1' ELSE l.quality::VARCHAR END AS value, CASE WHEN l.doc_id % 7 = 0 THEN 2 ELSE 0 END::BIGINT AS reviewers FROM labels l")
+def resolved_labels(spark, sf_dir):
+    labels = read(spark, sf_dir, "labels")
+    row = lambda who, at: labels.select(F.col("doc_id").alias("record_id"), F.lit(who).alias("reviewer_id"), F.lit(at).alias("created_at"), F.lit("quality").alias("field"), F.lit("value").alias("status"), F.array((F.col("quality") if at == 1 else F.lit(0)).cast("string")).alias("acceptable"))
+    notes = row("r1", 1).union(row("r2", 2))
+    rulings = labels.where("doc_id % 7 = 0").select(F.col("doc_id").alias("record_id"), F.lit("quality").alias("field"), F.lit("lead").alias("resolver_id"), F.lit("value").alias("status"), F.array(F.lit("1")).alias("acceptable"))
+    ruled = annotations.adjudicated(rulings, notes)
+    out = gold.resolved(notes, ruled).join(ruled.select("record_id", "reviewer_count"), "record_id", "left")
+    return out.select("record_id", "field", F.element_at("acceptable", 1).alias("value"), F.coalesce("reviewer_count", F.lit(0)).cast("long").alias("reviewers"))

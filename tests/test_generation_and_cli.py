@@ -17,7 +17,13 @@ def test_query_and_outline():
         r = g.GenerationRequest(topic="t", objective="o", audience="a", desired_duration_seconds=seconds)
         sections = g.outline(r, [])["sections"]
         assert [s["role"] for s in sections] == ["hook", "setup", "body", "cta"] and sections[-1]["end_seconds"] == seconds
-        assert all(a["end_seconds"] <= b["start_seconds"] + 1e-9 and a["start_seconds"] <= a["end_seconds"] for a, b in zip(sections, sections[1:]))
+        assert all(a["end_seconds"] == b["start_seconds"] for a, b in zip(sections, sections[1:]))
+        assert [s["end_seconds"] for s in sections] == [min(3.0, seconds), seconds * 0.25, seconds * 0.85, seconds]
+    hits = [{"record_id": "r1", "source_content_hash": "h1", "score": 0.5, "hooks": ["question"], "devices": ["contrast", "list"]}]
+    result = g.outline(REQUEST, hits)
+    assert result["creative_mechanisms"] == ["contrast", "list", "question"] and result["retrieved_evidence"][0]["relevance_score"] == 0.5
+    assert result["rationale"][0]["evidence_record_ids"] == ["r1"] and result["contract_version"] == "1.0.0"
+    assert result["delivery_notes"] and result["on_screen_text_suggestions"] == [{"at_seconds": 0.0, "text": "gardens"}]
 
 
 def test_draft_refuses(spark):
