@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillspark.plans.components import local_forest
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
@@ -202,38 +204,13 @@ def salted_rank(df: DataFrame, keys: list[str], order: list, salt_by: list[str],
     return joined.select(*[local[c] for c in df.columns], (F.col("_local") + F.col("_before")).cast("long").alias(name))
 
 
-def _local_forest(batches):
-    """Spanning edges (node, smallest node) of the links that one task has; the memory is that of its nodes."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        top = x
-        while parent[top] != top:
-            top = parent[top]
-        while parent[x] != top:
-            parent[x], x = top, parent[x]
-        return top
-
-    for b in batches:
-        for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            parent.setdefault(x, x)
-            parent.setdefault(y, y)
-            x, y = root(x), root(y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-    nodes = [x for x in parent if root(x) != x]
-    for at in range(0, len(nodes), 50_000):
-        part = nodes[at : at + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
-
-
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Nodes of edges (a long, b long) with the smallest node that they reach: (node, component).
 
     Alternating large-star and small-star steps over DataFrames, after each task has replaced its own
     links by spanning trees. Every node that has an edge gets a row; loops count as no edge.
     """
-    now = scratch.save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().mapInArrow(_local_forest, "a long, b long"))
+    now = scratch.save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().mapInArrow(lambda b: local_forest(b, pa.int64()), "a long, b long"))
     mark = None
     while True:  # every round but the last replaces links by ones to smaller nodes
         both = now.union(now.select("b", "a"))
