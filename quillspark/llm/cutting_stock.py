@@ -50,6 +50,22 @@ def greedy_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
     return basis, x
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """The inverse, by elimination with row pivots; a basis is sparse, so few rows change in a step."""
+    n = len(a)
+    m = np.concatenate([a.astype(np.float64), np.eye(n)], 1)
+    for k in range(n):
+        p = k + int(np.abs(m[k:, k]).argmax())
+        if p != k:
+            m[[k, p]] = m[[p, k]]
+        m[k] /= m[k, k]
+        other = m[:, k].copy()
+        other[k] = 0
+        rows = np.flatnonzero(other)
+        m[rows] -= other[rows, None] * m[k]
+    return m[:, n:].copy()
+
+
 def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3, most_columns: int = 4000) -> tuple[np.ndarray, np.ndarray]:
     """(patterns, times) of the linear program, by revised simplex with priced columns.
 
@@ -57,7 +73,7 @@ def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float =
     when a hundred columns in a row save less than a tenth of that.
     """
     basis, x = greedy_basis(lengths, demand, capacity)
-    inverse = np.linalg.inv(basis)
+    inverse = inverted(basis)
     bound, before = float(lengths @ demand) / capacity, np.inf
     for turn in range(most_columns):
         if turn % 100 == 0:
@@ -83,7 +99,7 @@ def relaxed(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float =
         d[r] = 0
         inverse -= np.outer(d, inverse[r])
         if turn % 200 == 199:
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
             x = np.maximum(inverse @ demand, 0)
     return np.rint(basis.T).astype(np.int64), np.maximum(x, 0)
 
