@@ -121,7 +121,11 @@ def balance(cells: DataFrame, targets: DataFrame, most: float, scratch: Scratch)
 
 
 def _copies(rows: pd.DataFrame) -> pd.DataFrame:
-    """Copies for all documents of each size of a source: error feedback from the largest size down."""
+    """Copies for all documents of each size of a source: error feedback from the largest size down.
+
+    What is left over where the smaller sizes are taken as often as they may is made up by whole copies: added where
+    there is room, else one more of the smallest size with room, and small ones taken away for it.
+    """
     rows = rows.sort_values("size", ascending=False, ignore_index=True)
     out, over = [], 0.0
     for size, n, rate, most in zip(rows["size"].tolist(), rows["n"].tolist(), rows["rate"].tolist(), rows["most"].tolist()):
@@ -131,6 +135,27 @@ def _copies(rows: pd.DataFrame) -> pd.DataFrame:
             copies = int(min(max(round(want / size), 0), int(most) * n))
             over = want - copies * size
         out.append(copies)
+    sizes = [x if x > 0 else None for x in rows["size"].tolist()]
+    room = lambda i: int(rows["most"][i]) * int(rows["n"][i]) - out[i]
+
+    def settle(sign: int) -> None:
+        nonlocal over
+        for i, size in enumerate(sizes):
+            if size and sign * over >= size:
+                k = min(room(i) if sign > 0 else out[i], int(sign * over // size))
+                out[i], over = out[i] + sign * k, over - sign * k * size
+
+    settle(1)
+    settle(-1)
+    some = [i for i, size in enumerate(sizes) if size and room(i) > 0]
+    least = min((x for x in sizes if x), default=0)
+    if some and over > least:
+        before = list(out), over
+        out[some[-1]] += 1
+        over -= sizes[some[-1]]
+        settle(-1)
+        if abs(over) >= before[1]:
+            out, over = before
     return rows[["source", "size", "n"]].assign(copies=out)
 
 
