@@ -232,3 +232,10 @@ def named_concepts(text: Column, stop: Iterable[str] = NO_CONCEPTS, most: int =
     found = F.filter(found, lambda w: ~w.isin(*stop))
     first = F.aggregate(found, F.array().cast("array<string>"), lambda seen, w: F.when(F.exists(seen, lambda x: F.lower(x) == F.lower(w)), seen).otherwise(F.array_append(seen, w)))
     return F.slice(first, 1, most)
+
+
+def mean_confidence(words: Column) -> Column:
+    """The mean confidence of recognised words (structs with confidence) to four places; null if none has one."""
+    known = F.filter(F.transform(words, lambda w: w["confidence"].cast("double")), lambda c: c.isNotNull())
+    total = F.aggregate(known, F.lit(0.0), lambda a, c: a + c)
+    return F.when(F.size(known) > 0, F.round(total / F.size(known), 4))

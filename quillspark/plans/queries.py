@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as t
 from quillspark.functions.hashing import hash_embedding, sha_split
-from quillspark.operators import annotations, dedup, gold, leakage, outcomes, reconstruction, registry, rules, search, suitability, training
+from quillspark.operators import annotations, dedup, gold, leakage, outcomes, reconstruction, registry, rules, search, service, suitability, training
 from quillspark.plans import corpus
 from quillspark.sources import sinks
 
@@ -595,3 +595,37 @@ def resolved_labels(spark, sf_dir):
     ruled = annotations.adjudicated(rulings, notes)
     out = gold.resolved(notes, ruled).join(ruled.select("record_id", "reviewer_count"), "record_id", "left")
     return out.select("record_id", "field", F.element_at("acceptable", 1).alias("value"), F.coalesce("reviewer_count", F.lit(0)).cast("long").alias("reviewers"))
+
+
+@query("SELECT l_orderkey, round(sum(l_quantity / 64.0::DOUBLE) / count(*), 4) AS asr_confidence FROM lineitem GROUP BY 1")
+def asr_confidence(spark, sf_dir):
+    words = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct((F.col("l_quantity").cast("double") / 64).alias("confidence"))).alias("words"))
+    return words.select("l_orderkey", t.mean_confidence(F.col("words")).alias("asr_confidence"))
+
+
+_COMPILED = """
+WITH p AS (SELECT doc_id, text IS NULL OR trim(text) = '' AS bad, lang IS NOT DISTINCT FROM 'en' AS saved FROM documents)"""
+
+
+def _compile_run(spark, sf_dir):
+    """A run over all documents, of which English ones have records already."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    make = lambda d: d.select("doc_id", F.sha2("text", 256).alias("record_sha256"))
+    blank = F.coalesce(F.trim("text"), F.lit("")) == ""
+    return service.compile_pending(docs.withColumn("problem", F.when(blank, "transcript_missing")), make(docs.where("lang = 'en'")), make, "doc_id")
+
+
+@query(_COMPILED + "SELECT count(*)::BIGINT AS examined, count(*) FILTER (NOT bad AND NOT saved)::BIGINT AS compiled, count(*) FILTER (NOT bad AND saved)::BIGINT AS unchanged, count(*) FILTER (bad)::BIGINT AS failed FROM p")
+def compile_pending_summary(spark, sf_dir):
+    return _compile_run(spark, sf_dir).summary
+
+
+@query(_COMPILED + "SELECT doc_id FROM p WHERE NOT bad AND NOT saved")
+def compile_pending_records(spark, sf_dir):
+    return _compile_run(spark, sf_dir).records.select("doc_id")
+
+
+@query("SELECT doc_id, CASE WHEN l.quality IS NULL THEN 1.0 ELSE 1.0 + l.quality END::DOUBLE AS sampling_weight FROM documents LEFT JOIN labels l USING (doc_id)")
+def outcome_weights(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id"), read(spark, sf_dir, "labels").select("doc_id", "quality")
+    return training.outcome_weights(docs, labels, "doc_id", F.col("quality") + 1)
