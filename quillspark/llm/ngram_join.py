@@ -3,8 +3,10 @@
 Documents become sets of word shingles. Equal sets collapse to one node. The shingles of a set are
 ordered rare first by a frequency sketch over all documents; two sets of Jaccard similarity t or more
 share at least one shingle in their prefixes, and the shared shingles that their prefixes must have
-(the positional filter) grow with their sizes. Pairs that pass are gathered into blocks of connected
-candidates; each set goes once into its block (or its cells, for a large block), where length and
+(the positional filter) grow with their sizes. A shingle that many prefixes have makes no pairs: sets that
+have one are matched by parts instead. Sets that are similar enough differ in a bounded number of shingles, so of
+some more parts, which hashes deal shingles to, some are equal; sets that have an equal part are candidates. Pairs that
+pass are gathered into blocks of connected candidates; each set goes once into its block (or its cells, for a large block), where length and
 suffix filters come before the exact comparison. Sets are exact hashes of shingles; a node is a set's hash.
 """
 
@@ -23,7 +25,7 @@ from quillspark.llm.kernels import shingle_sets
 
 SKETCH_WIDTH = 1 << 20
 SKETCH_BLOCK = 1 << 16
-#: Members of a prefix shingle's group up to which each pair is counted; larger groups become stars.
+#: Members of a prefix shingle's group up to which each pair is counted; members of larger groups are matched by parts.
 PAIRED_GROUP = 12
 #: Sets in one cell of a block.
 CELL = 1500
@@ -123,8 +125,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, percent: int, counts) -
 def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Candidate pairs (a, b, shared, na, nb) from rows sorted by token and node; a < b.
 
-    Each pair of a small group counts one shared shingle. A larger group becomes a star whose
-    links count as certain candidates (shared is null), so that no pair inside it is lost.
+    Each pair of a small group counts one shared shingle. Of a larger group each member (a) is named, b is null.
     """
 
     def small(t: np.ndarray, node: np.ndarray, n: np.ndarray, size: np.ndarray):
@@ -140,24 +141,28 @@ def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             out.append((node[i], node[i + d], np.ones(len(i), np.int32), na, nb))
         return out
 
-    def emit(t, node, n, star):
-        first = np.concatenate(([True], t[1:] != t[:-1]))
+    def crowd(node: np.ndarray, n: np.ndarray):
+        node, own = np.unique(node, return_index=True)
+        zero = np.zeros(len(node), np.int64)
+        return node, zero, zero.astype(np.int32), n[own].astype(np.int64), zero
+
+    def emit(t, node, n, more):
+        first = np.concatenate(([True], t[1:] != t[:-1])) if len(t) else np.zeros(0, bool)
         group = np.cumsum(first) - 1
-        size = np.bincount(group)[group]
+        size = np.bincount(group)[group] if len(t) else group
         found = small(t, node, n, size)
-        head = np.flatnonzero(first)[group]
-        big = np.flatnonzero((size > PAIRED_GROUP) & ~first)
-        if len(big):
-            found.append((node[head[big]], node[big], np.zeros(len(big), np.int32), n[head[big]].astype(np.int64), n[big].astype(np.int64)))
-        if star is not None:
-            found.append(star)
+        big = size > PAIRED_GROUP
+        if big.any():
+            found.append(crowd(node[big], n[big]))
+        if more is not None and len(more[0]):
+            found.append(more)
         if not found:
             return None
         a, b, c, na, nb = (np.concatenate(x) for x in zip(*found))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(c, mask=c == 0), pa.array(na.astype(np.int32)), pa.array(nb.astype(np.int32))], ["a", "b", "shared", "na", "nb"])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=c == 0), pa.array(c), pa.array(na.astype(np.int32)), pa.array(nb.astype(np.int32))], ["a", "b", "shared", "na", "nb"])
 
     held: list[np.ndarray] | None = None
-    hub: tuple[int, int, int] | None = None  # token, node and size at the head of a group that already is a star
+    large: int | None = None  # the token of a large group that may go on
 
     for b in batches:
         now = [b.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
@@ -169,27 +174,17 @@ def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         fresh = np.ones(len(t), bool)
         fresh[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
         t, node, n = t[fresh], node[fresh], n[fresh]
-        star = None
-        if hub is not None:
-            own = t == hub[0]
-            k = int(own.sum())
-            away = own & (node != hub[1])
-            star = (np.full(int(away.sum()), hub[1]), node[away], np.zeros(int(away.sum()), np.int32), np.full(int(away.sum()), hub[2], np.int64), n[away].astype(np.int64))
-            if k == len(t):
-                held = None
-                x = emit(t[:0], node[:0], n[:0], star) if len(star[0]) else None
-                if x is not None:
-                    yield x
-                continue
-            t, node, n, hub = t[k:], node[k:], n[k:], None
-        tail = int(np.searchsorted(t, t[-1], "left"))  # the last group may go on
+        more = held = None
+        if large is not None:
+            k = int((t == large).sum())
+            more = crowd(node[:k], n[:k])
+            t, node, n = t[k:], node[k:], n[k:]
+        tail = int(np.searchsorted(t, t[-1], "left")) if len(t) else 0  # the last group may go on
         if len(t) - tail > PAIRED_GROUP:
-            hub = (int(t[tail]), int(node[tail]), int(n[tail]))
-            held = None
-            x = emit(t, node, n, star)
-        else:
-            held = [t[tail:], node[tail:], n[tail:]]
-            x = emit(t[:tail], node[:tail], n[:tail], star) if tail or star is not None else None
+            large, tail = int(t[tail]), len(t)
+        elif len(t):
+            large, held = None, [t[tail:], node[tail:], n[tail:]]
+        x = emit(t[:tail], node[:tail], n[:tail], more)
         if x is not None:
             yield x
     if held is not None and len(held[0]):
@@ -198,6 +193,80 @@ def _groups(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             yield x
 
 
+def size_classes(percent: int) -> list[tuple[int, int, int]]:
+    """(smallest size, parts, spare parts) of classes of sizes: of two sets that may link, the larger is in the smaller's class or the next.
+
+    Linked sets of which the smaller is in the class differ in fewer shingles than there are parts that aren't spare, so
+    more parts than the spare ones are equal. There are about as many spare parts as may be empty; none at all where
+    only equal sets link.
+    """
+    out, least = [], 1
+    while least < 1 << 40:
+        after = 100 * least // percent + 1
+        differ = (100 - percent) * (after - 1 + 100 * (after - 1) // percent) // (100 + percent)
+        spare = 1
+        for _ in range(20):
+            parts = differ + 1 + spare
+            empty = parts * np.exp(-least / parts)
+            spare = max(1, min(differ + 1, int(np.ceil(empty + 3 * empty**0.5))))
+        out.append((least, differ + 1 + spare if differ else 0, spare))
+        least = after
+    return out
+
+
+def part_keys(s: np.ndarray, percent: int, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Keys of a set's parts under its class and the one below; sets that link have one in common.
+
+    Empty parts have no key unless a set has more of them than are spare: then all equal parts might be empty.
+    """
+    at = int(np.searchsorted([c[0] for c in classes], len(s), "right")) - 1
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(s ^ np.uint64(0x3C6EF372FE94F82B)), dtype=np.uint64)])
+    out = []
+    for c in (at - 1, at) if at else (at,):
+        least, parts, spare = classes[c]
+        if not parts or c < at and percent * len(s) > 100 * (classes[at][0] - 1):
+            continue  # too large for the class below
+        edges = np.searchsorted((s >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+        key = mix64(total[edges[1:]] - total[edges[:-1]] + mix64(np.arange(parts, dtype=np.uint64) + np.uint64((c + 1) << 40)))
+        full = edges[1:] > edges[:-1]
+        out.append(key[full] if parts - int(full.sum()) <= spare else key)
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _parts(batches: Iterator[pa.RecordBatch], k: int, percent: int, wanted) -> Iterator[pa.RecordBatch]:
+    """(key, node) of the parts of each distinct set that the filter lets through."""
+    classes = size_classes(percent)
+    seen: set[int] = set()
+    for b in batches:
+        keys, nodes = [], []
+        for _, s in shingle_sets(b.column(0), k):
+            if not len(s):
+                continue
+            node = _signature(s)[0]
+            if node in seen or not wanted.value.hit(np.array([node]))[0]:
+                continue
+            seen.add(node)
+            keys.append(part_keys(s, percent, classes))
+            nodes.append(np.full(len(keys[-1]), node, np.int64))
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of all nodes of a key to its first, from rows sorted by key and node."""
+    key, head = None, None
+    for b in batches:
+        t, node = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        if not len(t):
+            continue
+        first = np.concatenate(([key is None or t[0] != key], t[1:] != t[:-1]))
+        heads = np.concatenate(([0 if head is None else head], node[first]))[np.cumsum(first)]
+        key, head = t[-1], heads[-1]
+        own = heads != node
+        if own.any():
+            yield pa.RecordBatch.from_arrays([pa.array(heads[own]), pa.array(node[own])], ["a", "b"])
+
+
 def _sets_of(batches: Iterator[pa.RecordBatch], k: int, wanted) -> Iterator[pa.RecordBatch]:
     """(row, set) of the rows that the filter lets through."""
     for b in batches:
@@ -297,8 +366,14 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = tokens.repartition("token").sortWithinPartitions("token", "node").mapInArrow(partial(_groups, percent=percent), "a long, b long, shared int, na int, nb int")
     n, m = F.col("na").cast("long"), F.col("nb").cast("long")
     need = F.ceil(percent * (n + m) / F.lit(100 + percent)) - F.greatest(n - prefix_sql(n, percent), m - prefix_sql(m, percent))
-    candidates = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max(F.col("shared").isNull()).alias("sure"), F.max("na").alias("na"), F.max("nb").alias("nb")).where(F.col("sure") | (F.col("shared") >= need))
-    blocks = scratch.save(connected_components(candidates.select("a", "b"), scratch))
+    met = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    met = scratch.save(met.where(F.col("b").isNull() | (F.col("shared") >= need)).select("a", "b"))
+    candidates, crowded = met.where("b is not null"), met.where("b is null")
+    if not crowded.isEmpty():
+        among = spark.sparkContext.broadcast(IdFilter.of(crowded, "a"))
+        parts = own.select("text").mapInArrow(partial(_parts, k=k, percent=percent, wanted=among), "key long, node long")
+        candidates = candidates.union(parts.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_stars, "a long, b long"))
+    blocks = scratch.save(connected_components(candidates, scratch))
     rows = members.where("n > 0").groupBy(F.col("s1").alias("node")).agg(F.min("row").alias("row"))
     chosen = scratch.save(blocks.join(rows, "node").select(F.col("component").alias("block"), "node", "row"))
     wanted = spark.sparkContext.broadcast(IdFilter.of(chosen, "row"))
@@ -312,5 +387,5 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     named = named.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.coalesce("lowest", "first").alias("named"))
     out = members.join(named, (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")), "left")
     out = scratch.save(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("named")).otherwise(F.col("id")).alias("component_id")))
-    scratch.drop(seen, blocks, chosen, placed, groups)
+    scratch.drop(seen, met, blocks, chosen, placed, groups)
     return out

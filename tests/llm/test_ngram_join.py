@@ -97,3 +97,41 @@ def test_a_block_of_more_sets_than_a_cell(spark, monkeypatch):
 def test_a_long_text(spark):
     long = " ".join(f"w{i % 300_000}" for i in range(800_000))
     check(spark, [(1, long), (2, long + " more"), (3, "w1 w2 w3")], 3, 90)
+
+
+def test_common_shingles_make_no_block_of_unlike_sets(spark, monkeypatch):
+    """Sets of which each shingle is in many others: only those with an equal part are compared, and no link is lost."""
+    import quillspark.llm.ngram_join as n
+
+    placed = []
+    inner = n.linked_in_blocks
+    monkeypatch.setattr(n, "linked_in_blocks", lambda rows, *a: placed.append(rows.count()) or inner(rows, *a))
+    rng = random.Random(9)
+    rows = []
+    for i in range(0, 700, 2):
+        base = [rng.choice("abcdef") for _ in range(rng.randrange(40, 130))]
+        copy = list(base)
+        copy[rng.randrange(len(copy))] = rng.choice("abcdef")
+        rows += [(i, " ".join(base)), (i + 1, " ".join(copy if i % 20 == 0 else [rng.choice("abcdef") for _ in base]))]
+    check(spark, rows, 3, 90)
+    assert placed[0] < 150  # 700 with stars around common shingles
+
+
+def test_sets_that_link_have_an_equal_part():
+    import numpy as np
+
+    from quillspark.llm.ngram_join import part_keys, size_classes
+
+    g = np.random.default_rng(4)
+    for percent in (50, 80, 90, 95):
+        classes, linked = size_classes(percent), 0
+        for _ in range(1500):
+            n = int(g.integers(1, 400))
+            a = np.unique(g.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+            left = int(g.integers(0, (100 - percent) * n // 100 + 1))
+            b = np.unique(np.concatenate([a[left:], g.integers(0, 2**63, int(g.integers(0, (100 - percent) * n // 100 + 1)), dtype=np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= percent * len(np.union1d(a, b)) and len(np.union1d(a, b)) > both:
+                linked += 1
+                assert len(np.intersect1d(part_keys(a, percent, classes), part_keys(b, percent, classes)))
+        assert linked > 100
